@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillgate.llm import chat, url_rules
+from quillgate.llm import chat, simhash, url_rules
 from quillgate.llm.common import table
 
 #: Both texts of conversation -1.
@@ -28,7 +28,13 @@ def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.classify(table(spark, sf_dir, "pages"), rules)
 
 
+def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), k=4, radius=4)
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_formatting": op1_chat_formatting,
     "op4_url_filters": op4_url_filters,
+    "op7_simhash_near_dedup": op7_simhash_near_dedup,
 }
