@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillgate.llm import chat, decontaminate, simhash, url_rules
+from quillgate.llm import chat, decontaminate, secrets, simhash, url_rules
 from quillgate.llm.common import table
 
 #: Both texts of conversation -1.
@@ -33,6 +33,13 @@ def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.classify(table(spark, sf_dir, "pages"), rules)
 
 
+def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find_secrets(table(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long")
+    text = lambda spans: F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
+    return found.select("doc_id", *[count(k).alias(f"n_{k}") for k in ("assign", "access", "hex")], F.sha2(text("base"), 256).alias("base_sha256"), text("spans").alias("spans"))
+
+
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), k=4, radius=4)
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -42,5 +49,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_formatting": op1_chat_formatting,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op4_url_filters": op4_url_filters,
+    "op6_secret_scans": op6_secret_scans,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
 }
