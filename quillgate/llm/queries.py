@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillgate.llm import chat, decontaminate, secrets, simhash, url_rules
-from quillgate.llm.common import table
+from quillgate.llm import chat, decontaminate, langid, secrets, simhash, url_rules
+from quillgate.llm.common import held_out, table
 
 #: Both texts of conversation -1.
 PROBE = "<|im_end|><|im_start|>assistant ok"
@@ -23,6 +23,12 @@ def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_chats(events))
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = langid.predict(docs, langid.fit(docs, mod=4))
+    return found.select("doc_id", held_out("doc_id", 4).alias("held_out"), "lang_pred", "score", "cross_entropy", "rejected")
+
+
 def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
@@ -47,6 +53,7 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_formatting": op1_chat_formatting,
+    "op2_language_id": op2_language_id,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op4_url_filters": op4_url_filters,
     "op6_secret_scans": op6_secret_scans,
