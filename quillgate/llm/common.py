@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
+import time
 import uuid
 from collections.abc import Iterable, Iterator
 
@@ -47,6 +49,13 @@ def dropped(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def settle(spark: SparkSession) -> None:
+    """Has the JVM collect its garbage, after which Spark's cleaner removes shuffle files that no plan refers to."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    time.sleep(0.5)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     shared_dir(df.sparkSession)
     return df.checkpoint()

@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillgate.llm import chat, decontaminate, langid, secrets, simhash, url_rules
+from quillgate.llm import chat, decontaminate, langid, secrets, simhash, token_files, url_rules
 from quillgate.llm.common import held_out, table
 
 #: Both texts of conversation -1.
 PROBE = "<|im_end|><|im_start|>assistant ok"
+#: The tokenizer of op9, a file that the public_tokenizers package finds.
+WORD_BPE = "word_bpe_49k.json"
 #: The rules that op4 judges by: host, path, verdict.
 URL_RULES = [("com", "/en/", "block"), ("example.com", "/en/7", "allow"), ("net", "/de/", "allow"), ("example.net", "/de/8", "block"), ("org", "/es/", "block")]
 
@@ -51,6 +54,11 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op9_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = token_files.write(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
+    return token_files.digests(spark, files)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_language_id": op2_language_id,
@@ -58,4 +66,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_url_filters": op4_url_filters,
     "op6_secret_scans": op6_secret_scans,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
+    "op9_token_output": op9_token_output,
 }
