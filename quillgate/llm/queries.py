@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillgate.llm import chat, decontaminate, langid, secrets, simhash, token_files, url_rules
+from quillgate.llm import chat, decontaminate, langid, mixing, secrets, simhash, token_files, url_rules
 from quillgate.llm.common import held_out, table
 
 #: Both texts of conversation -1.
@@ -59,6 +59,11 @@ def op9_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.digests(spark, files)
 
 
+def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mixing.mix(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", *[F.col(f"_{c}").alias(c) for c in ("source", "lang", "topic", "tokens", "weight", "prob", "sampled")])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_language_id": op2_language_id,
@@ -67,4 +72,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_secret_scans": op6_secret_scans,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
     "op9_token_output": op9_token_output,
+    "op10_source_mixing": op10_source_mixing,
 }
