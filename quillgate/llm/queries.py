@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillgate.llm import chat, decontaminate, langid, mixing, secrets, simhash, token_files, url_rules
+from quillgate.llm import chat, decontaminate, langid, mixing, secrets, simhash, token_files, topk, url_rules
 from quillgate.llm.common import held_out, table
 
 #: Both texts of conversation -1.
@@ -42,6 +42,10 @@ def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.classify(table(spark, sf_dir, "pages"), rules)
 
 
+def op5_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, k=20)
+
+
 def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.find_secrets(table(spark, sf_dir, "documents"))
     count = lambda kind: F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long")
@@ -69,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language_id": op2_language_id,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op4_url_filters": op4_url_filters,
+    "op5_exact_top_k": op5_exact_top_k,
     "op6_secret_scans": op6_secret_scans,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
     "op9_token_output": op9_token_output,

@@ -54,4 +54,15 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
 FROM w LEFT JOIN pos USING (doc_id) LEFT JOIN ids USING (doc_id)
 """
 
-ORACLES: dict[str, str] = {"op1_chat_formatting": OP1, "op3_benchmark_decontamination": OP3, "op4_url_filters": OP4}
+OP5 = r"""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v))
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored) WHERE rank <= 20
+"""
+
+ORACLES: dict[str, str] = {"op1_chat_formatting": OP1, "op3_benchmark_decontamination": OP3, "op4_url_filters": OP4, "op5_exact_top_k": OP5}
