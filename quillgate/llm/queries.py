@@ -8,12 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillgate.llm import chat, decontaminate, langid, mixing, secrets, simhash, token_files, topk, url_rules
+from quillgate.llm import chat, decontaminate, langid, lm_score, mixing, secrets, simhash, token_files, topk, url_rules
 from quillgate.llm.common import held_out, table
 
 #: Both texts of conversation -1.
 PROBE = "<|im_end|><|im_start|>assistant ok"
-#: The tokenizer of op9, a file that the public_tokenizers package finds.
+#: The tokenizer of op8 and op9, a file that the public_tokenizers package finds.
 WORD_BPE = "word_bpe_49k.json"
 #: The rules that op4 judges by: host, path, verdict.
 URL_RULES = [("com", "/en/", "block"), ("example.com", "/en/7", "allow"), ("net", "/de/", "allow"), ("example.net", "/de/8", "block"), ("org", "/es/", "block")]
@@ -58,6 +58,11 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lm_score.score(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE), ~held_out("doc_id", 7))
+    return found.select("doc_id", held_out("doc_id", 7).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op9_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = token_files.write(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
     return token_files.digests(spark, files)
@@ -76,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_exact_top_k": op5_exact_top_k,
     "op6_secret_scans": op6_secret_scans,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
+    "op8_lm_scoring": op8_lm_scoring,
     "op9_token_output": op9_token_output,
     "op10_source_mixing": op10_source_mixing,
 }
