@@ -15,13 +15,15 @@ rows are null; an empty table gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
 from itertools import accumulate, combinations
 
 import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quillgate.llm.common import slices, stored
@@ -43,11 +45,16 @@ def shingle_hashes(text: str, k: int) -> list[bytes]:
     return [h(joined[a : b - 1], SEED) for a, b in zip([0, *ends], ends[k - 1 :], strict=False)]
 
 
-def fingerprints_of(texts: list[str], k: int) -> np.ndarray:
-    """uint64 fingerprints. Bits are counted in byte lanes, at most 255 hashes at a time."""
+def word_set_hashes(text: str, seed: int) -> list[bytes]:
+    h = xxhash.xxh64_digest
+    return [h(w, seed) for w in set(text.encode("utf-8", "surrogatepass").lower().split())]
+
+
+def fingerprints_of(texts: list[str], hashes: Callable[[str], list[bytes]]) -> np.ndarray:
+    """uint64 fingerprints of what hashes() makes of each text. Bits are counted in byte lanes, at most 255 hashes at a time."""
     out = np.zeros(len(texts), np.uint64)
     for run in slices(texts, CHARS):
-        each = [shingle_hashes(texts[i], k) for i in run]
+        each = [hashes(texts[i]) for i in run]
         n = np.array([len(x) for x in each])
         h = np.frombuffer(b"".join(b"".join(x) for x in each), ">u8").astype(np.uint64)
         rows, n = np.array(run)[n > 0], n[n > 0]
@@ -71,7 +78,7 @@ def fingerprints(docs: DataFrame, k: int = 4, id_col: str = "doc_id", text_col:
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield pd.DataFrame({"doc_id": b.doc_id, "fp": fingerprints_of(b.text.fillna("").tolist(), k).view(np.int64)})
+            yield pd.DataFrame({"doc_id": b.doc_id, "fp": fingerprints_of(b.text.fillna("").tolist(), lambda t: shingle_hashes(t, k)).view(np.int64)})
 
     ids = F.col(id_col).cast("long").alias("doc_id")
     return docs.select(ids, F.col(text_col).alias("text")).mapInPandas(work, "doc_id long, fp long")
@@ -99,16 +106,16 @@ def _dealt(fps: np.ndarray, width: int, extra: np.ndarray, half: int) -> Iterato
                 yield at, low ^ m2, own
 
 
-def _forest(fps: np.ndarray, left: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links (fingerprint, a smaller one of its group) among sorted fingerprints that share a variant. left: flips that
-    each has left for its low bits. Too many variants are compared half by half, by the next bit."""
+def _meet(fps: np.ndarray, left: np.ndarray, bits: int, linked: Callable) -> tuple[np.ndarray, np.ndarray]:
+    """Links among sorted fingerprints that share a variant, as linked() makes them. left: flips that each has left for its
+    low bits. Too many variants are compared half by half, by the next bit."""
     n_variants = sum(int((left == k).sum()) * sum(math.comb(bits, j) for j in range(k + 1)) for k in range(left.max(initial=0) + 1))
     if n_variants > SORTED and bits > 0:
         found = []
         top = (fps >> np.uint64(bits - 1)) & np.uint64(1)
         for v in (0, 1):
             rest = left - (top != v)
-            found.append(_forest(fps[rest >= 0], rest[rest >= 0], bits - 1))
+            found.append(_meet(fps[rest >= 0], rest[rest >= 0], bits - 1, linked))
         return np.concatenate([a for a, _ in found]), np.concatenate([b for _, b in found])
     low = fps & np.uint64((1 << bits) - 1)
     variants, source = [], []
@@ -132,21 +139,35 @@ def _forest(fps: np.ndarray, left: np.ndarray, bits: int) -> tuple[np.ndarray, n
     src, val = src[order], v[at][order]
     starts = np.flatnonzero(np.concatenate(([True], val[1:] != val[:-1])))
     group = np.cumsum(np.concatenate(([0], val[1:] != val[:-1])))
-    label = np.arange(len(fps))
-    while True:  # the smallest label spreads through the variants
+    a, b = linked(src, group, starts, len(fps))
+    return fps[a], fps[b]
+
+
+def _forest(src: np.ndarray, group: np.ndarray, starts: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """A link from each of n fingerprints to the smallest that variants connect it with."""
+    label = np.arange(n)
+    while True:
         least = np.minimum.reduceat(label[src], starts)
         new = label.copy()
         np.minimum.at(new, src, least[group])
         new = new[new]
         if (new == label).all():
-            break
+            own = np.flatnonzero(label != np.arange(n))
+            return own, label[own]
         label = new
-    own = np.flatnonzero(label != np.arange(len(fps)))
-    return fps[own], fps[label[own]]
 
 
-def links(fps: DataFrame, radius: int = 4) -> DataFrame:
-    """a, b: links that connect all fp (distinct longs) at up to `radius` differing bits, radius even."""
+def _pairs(src: np.ndarray, group: np.ndarray, starts: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of each variant's fingerprints, each with the smallest and with the one before it: all within the radius."""
+    first, before = src[starts][group], np.concatenate((src[:1], src[:-1]))
+    inner = np.setdiff1d(np.arange(len(src)), starts)
+    code = np.unique(np.concatenate([src[inner] * n + first[inner], src[inner] * n + before[inner]]))
+    return code // n, code % n
+
+
+def links(fps: DataFrame, radius: int = 4, direct: bool = False) -> DataFrame:
+    """a, b: links that connect all fp (distinct longs) at up to `radius` differing bits, radius even. With direct, each
+    link itself is within the radius: for every shared variant those to its smallest fingerprint and to the next."""
     if radius % 2:
         raise ValueError("the ball around the middle needs an even radius")
     half = radius // 2
@@ -178,7 +199,7 @@ def links(fps: DataFrame, radius: int = 4) -> DataFrame:
         bits = int(extra[prefix])
         whole = np.uint64(prefix << bits | part)
         left = half - np.bitwise_count((fp >> np.uint64(BITS - width - bits)) ^ whole).astype(np.int64)
-        x, y = _forest(fp, left, BITS - width - bits)
+        x, y = _meet(fp, left, BITS - width - bits, _pairs if direct else _forest)
         return pd.DataFrame({"a": x.astype(np.uint64).view(np.int64), "b": y.astype(np.uint64).view(np.int64)})
 
     return fps.mapInPandas(emit, "k long, fps binary").groupBy("k").applyInPandas(meet, "a long, b long")
@@ -192,3 +213,69 @@ def near_duplicates(docs: DataFrame, k: int = 4, radius: int = 4, id_col: str =
     named = nodes.join(tree.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
     return rows.join(named.select("fp", "root").join(least, "root").select("fp", "component_id"), "fp")
+
+
+#: Word-set fingerprints of the stage that checks its links, and ids that may be broadcast.
+STAGE_SEEDS, BROADCAST_IDS = (42, 43, 44), 1 << 20
+
+
+def _candidates(texts: DataFrame, fp: str, radius: int) -> DataFrame:
+    """x, y: texts' documents whose fingerprints link. Of equal fingerprints, each with the first and with the one before."""
+    by_fp = W.partitionBy(fp).orderBy("doc")
+    same = texts.select(fp, "doc", F.first("doc").over(by_fp).alias("first"), F.lag("doc").over(by_fp).alias("before"))
+    same = same.select(F.col("doc").alias("y"), F.explode(F.array("first", "before")).alias("x")).where("x < y")
+    nodes = texts.groupBy(fp).agg(F.min("doc").alias("doc"))
+    near = links(nodes.select(F.col(fp).alias("fp")), radius, direct=True).distinct()
+    name = lambda c, out: nodes.select(F.col(fp).alias(c), F.col("doc").alias(out))
+    near = near.join(name("a", "x"), "a").join(name("b", "y"), "b").select(F.greatest("x", "y").alias("y"), F.least("x", "y").alias("x"))
+    return same.unionByName(near)
+
+
+def _similar(docs: DataFrame, pairs: DataFrame, k: int, similarity: float) -> DataFrame:
+    """The pairs whose sets of k-word shingles have at least that Jaccard similarity."""
+    ids = stored(pairs.select(F.explode(F.array("x", "y")).alias("doc_id")).distinct(), "paired")
+    ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+    def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield pd.DataFrame({"doc": b.doc_id, "s": [np.unique(np.frombuffer(b"".join(shingle_hashes(t, k)), "<u8")).tobytes() for t in b.text.fillna("")]})
+
+    own = stored(docs.select("doc_id", "text").join(ids, "doc_id", "left_semi").mapInPandas(sets, "doc long, s binary").dropDuplicates(["doc"]), "shingles")
+
+    def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            fits = []
+            for x, y in zip(b.sx, b.sy, strict=True):
+                x, y = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                fits.append(both >= similarity * (len(x) + len(y) - both))
+            yield b.loc[fits, ["x", "y"]].rename(columns={"x": "a", "y": "b"})
+
+    both = pairs.join(own.select(F.col("doc").alias("x"), F.col("s").alias("sx")), "x").join(own.select(F.col("doc").alias("y"), F.col("s").alias("sy")), "y")
+    return both.select("x", "y", "sx", "sy").mapInPandas(check, "a long, b long")
+
+
+def deduplicated(docs: DataFrame, k: int = 5, radius: int = 4, similarity: float = 0.8, seeds: tuple[int, ...] = STAGE_SEEDS) -> DataFrame:
+    """docs less all but one of each group, the one of the smallest doc_id, with all columns.
+
+    Five-word fingerprints of near copies at similarity 0.8 differ in some nine bits, which no small ball covers; those of word
+    sets differ in about four. So candidates come from word-set fingerprints of several seeds, and a link counts if the
+    k-word shingle sets are similar enough. Equal texts are one text. Rows without an id stay."""
+
+    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            texts = b.text.fillna("").tolist()
+            yield b.drop(columns="text").assign(**{f"fp{i}": fingerprints_of(texts, lambda t, s=s: word_set_hashes(t, s)).view(np.int64) for i, s in enumerate(seeds)})
+
+    fp = [f"fp{i}" for i in range(len(seeds))]
+    own = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("h"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("key"), "text")
+    rows = stored(own.mapInPandas(work, "doc_id long, h long, key string, " + ", ".join(f"{x} long" for x in fp)), "word-sets")
+    texts = stored(rows.groupBy("key").agg(F.min("doc_id").alias("doc"), *[F.min(x).alias(x) for x in fp]), "texts")
+    found = [stored(_candidates(texts, x, radius), f"candidates-{x}") for x in fp]
+    pairs = stored(reduce(DataFrame.unionByName, found).where("x < y").distinct(), "pairs")
+    later = roots(_similar(docs, pairs, k, similarity)).select(F.col("node").alias("doc"), F.lit(True).alias("linked"))
+    gone = rows.select("doc_id", "h", "key").join(texts.select("key", "doc").join(later, "doc", "left"), "key").where("linked or doc_id <> doc")
+    gone = stored(gone.select(F.col("doc_id").alias("_d"), F.col("h").alias("_h")).distinct(), "near-copies")
+    out = docs.join(F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone, (F.col("doc_id") == F.col("_d")) & (F.xxhash64("text") == F.col("_h")), "left_anti")
+    unique = rows.groupBy("doc_id", "key").count().where("count > 1").isEmpty()
+    return out if unique else out.where("doc_id is null").unionByName(out.where("doc_id is not null").dropDuplicates(["doc_id", "text"]))
