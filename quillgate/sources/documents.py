@@ -75,7 +75,7 @@ def files(spark: SparkSession, path: str, pattern: str = "*", ignored: str | Non
 def markdown_table(texts: DataFrame, row: str, cells: list[str], text_col: str = "raw") -> DataFrame:
     """The pipe-delimited lines that the regex `row` matches, a column for each cell; missing cells are null, `n_cells` tells."""
     line = texts.select("path", F.explode(F.split(text_col, r"\r?\n")).alias("line")).where(F.col("line").rlike(row))
-    c = F.transform(F.split(F.regexp_replace(F.trim("line"), r"^\||\|$", ""), r"\|"), F.trim)
+    c = F.transform(F.split(F.regexp_replace(F.trim("line"), r"^\||\|$", ""), r"\|"), lambda x: F.trim(x))
     out = line.select("path", c.alias("c"))
     return out.select("path", F.size("c").alias("n_cells"), *[F.try_element_at("c", F.lit(i + 1)).alias(n) for i, n in enumerate(cells)])
 
@@ -115,9 +115,9 @@ def ancestors(commits: DataFrame, tip: str) -> DataFrame:
     edges = commits.where("parent is not null").select("sha", "parent").distinct()
     return edges.sparkSession.sql(
         """WITH RECURSIVE up(sha, depth) MAX RECURSION LEVEL 100000 AS (
-             SELECT {tip} AS sha, 0 AS depth UNION SELECT e.parent, up.depth + 1 FROM up JOIN {edges} e ON e.sha = up.sha)
+             SELECT :tip AS sha, 0 AS depth UNION ALL SELECT e.parent, up.depth + 1 FROM up JOIN {edges} e ON e.sha = up.sha)
            SELECT sha, min(depth) AS depth FROM up GROUP BY sha""",
-        tip=F.lit(tip), edges=edges,
+        args={"tip": tip}, edges=edges,
     ).join(commits.select("sha").unionByName(commits.select(F.col("parent").alias("sha"))).distinct(), "sha", "left_semi")
 
 
