@@ -18,9 +18,13 @@ doc_id sorts first; a document longer than a block is a block; an empty table gi
 from __future__ import annotations
 
 import os
+import re
+import unicodedata
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
+from itertools import chain, islice
 
 import numpy as np
 import pandas as pd
@@ -32,70 +36,114 @@ from quillgate.llm import vbyte
 from quillgate.llm.common import dropped, partitions, settle, shared_dir, slices, store
 
 END_ID = 2
-CHARS, BLOCK_IDS, KNOWN = 1 << 20, 1 << 18, 300_000
+CHARS, BLOCK_IDS, KNOWN = 1 << 20, 1 << 18, 600_000
+
+
+#: Letters that NFC leaves as they are, then ASCII marks: two pieces, as the pre-tokenizer cuts where letters end.
+_PLAIN = re.compile("([" + "".join(c for c in map(chr, range(0x250)) if c.isalpha() and c == c.lower() and unicodedata.is_normalized("NFC", c)) + r"]*)([!-/:-@\[-`{-~]*)")
+
+
+def _byte_letters() -> dict[int, str]:
+    """The byte-level alphabet: printable Latin-1 bytes stand for themselves, the others, in order, for 256 and up."""
+    own = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
+    return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in set(own))}
 
 
 class WordIds:
-    """Ids of texts by a tokenizer file, through a bounded table of words."""
+    """Ids of texts by a tokenizer file, through a bounded table of words.
+
+    The file's model is a byte-level BPE over pieces that never hold white space; words of plain letters go straight to the
+    model, as normalizer and pre-tokenizer leave them whole, all others through the whole tokenizer."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self._forget()
-
-    def _forget(self) -> None:
+        self.model, self.letters = self.tokenizer.model, _byte_letters()
         self.rows: dict[bytes, int] = {}
+        self.marks: dict[str, list[int]] = {}
         self.pool, self.used = np.zeros(1 << 16, np.uint32), 0
-        self.begin, self.size = [], []
-
-    def _add(self, word: bytes, ids: list[int]) -> None:
-        while self.used + len(ids) > len(self.pool):
-            self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
-        self.pool[self.used : self.used + len(ids)] = ids
-        self.rows[word] = len(self.begin)
-        self.begin.append(self.used)
-        self.size.append(len(ids))
-        self.used += len(ids)
-
-    def _learn(self, words: set[bytes]) -> None:
-        # a letter or digit and a following stop or comma always are two pieces
-        ended = {w for w in words if len(w) > 1 and w[-1] in b".," and w[-2:-1].isalnum() and b"<|" not in w}
-        plain = list({*(words - ended), *(w[:-1] for w in ended), *(w[-1:] for w in ended)} - self.rows.keys())
-        for at in range(0, len(plain), 4096):
-            part = plain[at : at + 4096]
-            for w, e in zip(part, self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in part], add_special_tokens=False), strict=True):
-                self._add(w, e.ids)
-        for w in ended:
-            a, b = self.rows[w[:-1]], self.rows[w[-1:]]
-            self._add(w, [*self.pool[self.begin[a] : self.begin[a] + self.size[a]], *self.pool[self.begin[b] : self.begin[b] + self.size[b]]])
+        self.begin, self.size = np.zeros(1 << 14, np.int32), np.zeros(1 << 14, np.int32)
+
+    def _learn(self, words: list[bytes]) -> None:
+        plain, odd, ids = [], [], []
+        for w in words:
+            s = w.decode("utf-8", "replace")
+            m = _PLAIN.fullmatch(s if s.isascii() else s.lower())
+            if m and b"<|" not in w:
+                plain.append(w)
+                ids.append(self._letters(m[1]) + self._marks(m[2]) if m[2] else self._letters(m[1]))
+            else:
+                odd.append(w)
+        for at in range(0, len(odd), 4096):
+            part = [w.decode("utf-8", "replace") for w in odd[at : at + 4096]]
+            ids += [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+        self._add(plain + odd, np.fromiter(chain.from_iterable(ids), np.uint32), np.fromiter(map(len, ids), np.int32, len(ids)))
+
+    def _letters(self, s: str) -> list[int]:
+        return [t.id for t in self.model.tokenize(s if s.isascii() else s.encode().decode("latin-1").translate(self.letters))] if s else []
+
+    def _marks(self, s: str) -> list[int]:
+        if s not in self.marks:
+            if len(self.marks) > 10_000:
+                self.marks.clear()
+            self.marks[s] = self.tokenizer.encode(s, add_special_tokens=False).ids
+        return self.marks[s]
+
+    def _add(self, words: list[bytes], flat: np.ndarray, size: np.ndarray) -> None:
+        n = len(self.rows)
+        self.rows.update(zip(words, range(n, n + len(words)), strict=True))
+        self.pool = _put(self.pool, self.used, flat)
+        self.size = _put(self.size, n, size)
+        self.begin = _put(self.begin, n, self.used + np.cumsum(size, dtype=np.int32) - size)
+        self.used += len(flat)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after the other, and how many each text has."""
         words, n_words = [], []
         for t in texts:
             raw = t.encode("utf-8", "replace")
-            # special tokens' strings are told apart by case; all other words the tokenizer lower-cases itself
-            own = raw.lower().split() if b"<|" not in raw else [w if b"<|" in w else w.lower() for w in raw.split()]
+            # the tokenizer lower-cases too, but tells special tokens' strings apart by case
+            own = raw.split() if b"<|" in raw else raw.lower().split()
             words += own
             n_words.append(len(own))
-        if len(self.rows) > KNOWN:
-            self._forget()
-        self._learn(set(words) - self.rows.keys())
-        row = np.fromiter(map(self.rows.__getitem__, words), np.int64, len(words))
-        size, begin = np.array(self.size, np.int64)[row], np.array(self.begin, np.int64)[row]
-        ends = np.cumsum(size)
-        ids = self.pool[np.repeat(begin - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)]
+        if len(self.rows) > KNOWN:  # the words that were met first are the frequent ones
+            self.rows = dict(islice(self.rows.items(), KNOWN // 2))
+            self.used = int(self.begin[KNOWN // 2])
+        found = list(map(self.rows.get, words))
+        new = [i for i, r in enumerate(found) if r is None]
+        if new:
+            self._learn(list({words[i] for i in new}))
+            for i in new:
+                found[i] = self.rows[words[i]]
+        row = np.array(found, np.int32)
+        size, begin = self.size[row], self.begin[row]
+        ends = np.cumsum(size, dtype=np.int32)
+        ids = self.pool[np.repeat(begin - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0, dtype=np.int32)]
         edges = np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(n_words, dtype=np.int64)))]
         return ids, np.diff(edges)
 
 
+def _put(a: np.ndarray, at: int, new: np.ndarray) -> np.ndarray:
+    """a with new from at on, made longer where needed."""
+    while at + len(new) > len(a):
+        a = np.concatenate([a, np.zeros_like(a)])
+    a[at : at + len(new)] = new
+    return a
+
+
+@lru_cache(maxsize=1)
+def word_ids(path: str) -> WordIds:
+    """One table for a worker, which keeps it from task to task."""
+    return WordIds(path)
+
+
 def encoded(docs: DataFrame, tokenizer_path: str, bounds: list[int], id_col: str, text_col: str) -> DataFrame:
     """part, doc_id, ids (little-endian bytes of 2 or 4 for each id), the end id included."""
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tok = WordIds(tokenizer_path)
+        tok = word_ids(tokenizer_path)
         kind = "<u2" if tok.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         edges = np.array(bounds, np.int64)
         for b in batches:
@@ -112,14 +160,14 @@ def encoded(docs: DataFrame, tokenizer_path: str, bounds: list[int], id_col: str
 
 
 def _blocker(width: int):
-    """Sorted documents to blocks. planes: the ids' low bytes, then their high bytes, which compress better apart."""
+    """Sorted documents to blocks of their ids, as they came."""
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seq, part, docs, size = 0, None, [], 0
 
         def block() -> pd.DataFrame:
-            ids = np.frombuffer(b"".join(x for _, x in docs), np.uint8)
-            return pd.DataFrame({"part": [part], "seq": [seq], "doc_ids": [[None if pd.isna(i) else int(i) for i, _ in docs]], "sizes": [[len(x) // width for _, x in docs]], "n_ids": [len(ids) // width], "planes": [ids.reshape(-1, width).T.tobytes()]})
+            ids = b"".join(x for _, x in docs)
+            return pd.DataFrame({"part": [part], "seq": [seq], "doc_ids": [[None if pd.isna(i) else int(i) for i, _ in docs]], "sizes": [[len(x) // width for _, x in docs]], "n_ids": [len(ids) // width], "ids": [ids]})
 
         for b in batches:
             for p, i, x in zip(b.part, b.doc_id.astype("object"), b.ids, strict=True):
@@ -135,10 +183,6 @@ def _blocker(width: int):
     return work
 
 
-def _ids(planes: bytes, width: int) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(width, -1).T).view(f"<u{width}").ravel()
-
-
 @dataclass
 class TokenFiles:
     path: str
@@ -160,7 +204,7 @@ def write(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col
     vocabulary = WordIds(tokenizer_path).tokenizer.get_vocab_size()
     width = 2 if vocabulary <= 1 << 16 else 4
     ordered = parts.repartitionById(n, F.col("part")).sortWithinPartitions("part", "doc_id", "ids")
-    at = store(ordered.mapInPandas(_blocker(width), "part int, seq long, doc_ids array<long>, sizes array<long>, n_ids long, planes binary"), "token-blocks")
+    at = store(ordered.mapInPandas(_blocker(width), "part int, seq long, doc_ids array<long>, sizes array<long>, n_ids long, ids binary"), "token-blocks", "snappy")
     del parts, ordered
     settle(spark)  # the shuffle's files can go before the second copy is written
     blocks = spark.read.parquet(at)
@@ -168,11 +212,11 @@ def write(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(vocabulary, np.int64)
         for b in batches:
-            for x in b.planes:
-                total += np.bincount(_ids(x, width), minlength=vocabulary)
+            for x in b.ids:
+                total += np.bincount(np.frombuffer(x, f"<u{width}"), minlength=vocabulary)
         yield pd.DataFrame({"id": np.flatnonzero(total), "n": total[total > 0]})
 
-    counts = blocks.select("planes").mapInPandas(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
+    counts = blocks.select("ids").mapInPandas(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
     by_rank = sorted(((x["id"], x["n"]) for x in counts), key=lambda x: (-x[1], x[0]))
     rank_of = np.zeros(vocabulary, np.uint32)
     for r, (i, _) in enumerate(by_rank):
@@ -182,11 +226,11 @@ def write(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col
 
     def recode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            both = [vbyte.encode(rank_of[_ids(x, width)]) for x in b.planes]
-            yield b.drop(columns="planes").assign(control=[c for c, _ in both], data=[d for _, d in both])
+            both = [vbyte.encode(rank_of[np.frombuffer(x, f"<u{width}")]) for x in b.ids]
+            yield b.drop(columns="ids").assign(control=[c for c, _ in both], data=[d for _, d in both])
 
     final = blocks.mapInPandas(recode, "part int, seq long, doc_ids array<long>, sizes array<long>, n_ids long, control binary, data binary")
-    final.write.option("compression", "zstd").parquet(f"{path}/blocks")
+    final.write.option("compression", "none").parquet(f"{path}/blocks")
     dropped(spark, at)
     return TokenFiles(path)
 

@@ -20,7 +20,11 @@ def encode(values: np.ndarray) -> tuple[bytes, bytes]:
     two = np.zeros(-(-len(v) // 4) * 4, np.uint8)
     two[: len(v)] = n - 1
     control = (two.reshape(-1, 4) << np.array([0, 2, 4, 6], np.uint8)).sum(1, dtype=np.uint8)
-    return control.tobytes(), v.view(np.uint8).reshape(-1, 4)[np.arange(4) < n[:, None]].tobytes()
+    width = 2 if n.max(initial=1) <= 2 else 4  # bytes that no value has aren't looked at
+    keep = np.ones(width * len(v), bool)
+    for k in range(1, width):
+        keep[k::width] = n > k
+    return control.tobytes(), v.astype(f"<u{width}").view(np.uint8)[keep].tobytes()
 
 
 def decode(control: bytes, data: bytes, count: int) -> np.ndarray:
@@ -28,6 +32,6 @@ def decode(control: bytes, data: bytes, count: int) -> np.ndarray:
     at = np.cumsum(n, dtype=np.int64) - n
     d = np.frombuffer(data + b"\0\0\0", np.uint8)
     v = d[at].astype(np.uint32)
-    for k in (1, 2, 3):
+    for k in range(1, int(n.max(initial=1))):
         v |= d[at + k].astype(np.uint32) << np.uint32(8 * k)
     return v & _KEEP[n]
