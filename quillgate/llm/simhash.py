@@ -31,7 +31,7 @@ from quillgate.llm.components import roots
 
 BITS, SEED = 64, 42
 #: Characters worked on at once; variants sorted at once; variants that a prefix should have.
-CHARS, SORTED, LOAD = 1 << 20, 1 << 22, 1 << 20
+CHARS, SORTED, LOAD = 1 << 20, 1 << 20, 1 << 20
 _LANES = np.uint64(0x0101010101010101)
 
 

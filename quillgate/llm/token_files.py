@@ -36,7 +36,7 @@ from quillgate.llm import vbyte
 from quillgate.llm.common import dropped, partitions, settle, shared_dir, slices, store
 
 END_ID = 2
-CHARS, BLOCK_IDS, KNOWN = 1 << 20, 1 << 18, 600_000
+CHARS, BLOCK_IDS, KNOWN = 1 << 20, 1 << 18, 450_000
 
 
 #: Letters that NFC leaves as they are, then ASCII marks: two pieces, as the pre-tokenizer cuts where letters end.
