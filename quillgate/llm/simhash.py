@@ -217,6 +217,8 @@ def near_duplicates(docs: DataFrame, k: int = 4, radius: int = 4, id_col: str =
 
 #: Word-set fingerprints of the stage that checks its links, and ids that may be broadcast.
 STAGE_SEEDS, BROADCAST_IDS = (42, 43, 44), 1 << 20
+#: Leading bits of a shingle's hash by which shingles are counted.
+LEVEL_BITS = 18
 
 
 def _candidates(texts: DataFrame, fp: str, radius: int) -> DataFrame:
@@ -231,16 +233,94 @@ def _candidates(texts: DataFrame, fp: str, radius: int) -> DataFrame:
     return same.unionByName(near)
 
 
-def _similar(docs: DataFrame, pairs: DataFrame, k: int, similarity: float) -> DataFrame:
-    """The pairs whose sets of k-word shingles have at least that Jaccard similarity."""
-    ids = stored(pairs.select(F.explode(F.array("x", "y")).alias("doc_id")).distinct(), "paired")
+def _sets(docs: DataFrame, texts: DataFrame, k: int, repeated: bool) -> DataFrame:
+    """doc, s: the sorted XXH64 of the k-word shingles of texts' documents."""
+    ids = texts.select(F.col("doc").alias("doc_id")).distinct()
     ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield pd.DataFrame({"doc": b.doc_id, "s": [np.unique(np.frombuffer(b"".join(shingle_hashes(t, k)), "<u8")).tobytes() for t in b.text.fillna("")]})
+            yield pd.DataFrame({"doc": b.doc_id, "s": [np.unique(np.frombuffer(b"".join(shingle_hashes(t, k)), ">u8").astype("<u8")).tobytes() for t in b.text.fillna("")]})
 
-    own = stored(docs.select("doc_id", "text").join(ids, "doc_id", "left_semi").mapInPandas(sets, "doc long, s binary").dropDuplicates(["doc"]), "shingles")
+    out = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi").mapInPandas(sets, "doc long, s binary")
+    return stored(out.dropDuplicates(["doc"]) if repeated else out, "shingles", "none")
+
+
+def _levels(own: DataFrame) -> np.ndarray:
+    """By the leading bits of a shingle's hash, how many there are: eight steps for each doubling."""
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros(1 << LEVEL_BITS, np.int64)
+        for b in batches:
+            h = np.frombuffer(b"".join(b.s), "<u8")
+            total += np.bincount((h >> np.uint64(BITS - LEVEL_BITS)).astype(np.int64), minlength=1 << LEVEL_BITS)
+        parts = total.reshape(64, -1)
+        yield pd.DataFrame({"part": range(64), "n": [x.tobytes() for x in parts]})
+
+    def add(key: tuple, b: pd.DataFrame) -> pd.DataFrame:
+        total = sum(np.frombuffer(x, np.int64) for x in b.n)
+        return pd.DataFrame({"part": [key[0]], "n": [np.minimum(8 * np.log2(total + 1), 255).astype(np.uint8).tobytes()]})
+
+    got = own.mapInPandas(count, "part int, n binary").groupBy("part").applyInPandas(add, "part int, n binary").orderBy("part").collect()
+    return np.frombuffer(b"".join(x["n"] for x in got), np.uint8) if got else np.zeros(1 << LEVEL_BITS, np.uint8)
+
+
+def _postings(own: DataFrame, similarity: float) -> DataFrame:
+    """s, doc, n, at: the shingles that two similar sets cannot all miss, where another document has the same. Shingles
+    are ordered by level, then hash; of sets with at least that similarity one of the first n - ceil(similarity x n) + 1 is common."""
+    level = _levels(own)
+
+    def first(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            s, size = [], []
+            for x in b.s:
+                h = np.frombuffer(x, "<u8")
+                most = len(h) - math.ceil(similarity * len(h) - 1e-9) + 1 if len(h) else 0
+                s.append(h[np.lexsort((h, level[(h >> np.uint64(BITS - LEVEL_BITS)).astype(np.int64)]))[:most]])
+                size.append(len(h))
+            each = [len(x) for x in s]
+            at = np.concatenate([np.arange(m) for m in each]) if each else np.zeros(0, np.int64)
+            yield pd.DataFrame({"s": np.concatenate(s).view(np.int64) if s else at, "doc": np.repeat(b.doc.to_numpy(), each), "n": np.repeat(np.array(size, np.int64), each), "at": at})
+
+    rows = own.mapInPandas(first, "s long, doc long, n int, at int")
+    return stored(rows.withColumn("c", F.count("*").over(W.partitionBy("s"))).where("c > 1").drop("c"), "postings")
+
+
+def _named(posts: DataFrame, found: DataFrame, name: str) -> DataFrame:
+    """posts with label, the component by the links found; only of shingles that several components have."""
+    label = posts.join(roots(found).withColumnRenamed("node", "doc"), "doc", "left").withColumn("label", F.coalesce("root", "doc")).drop("root")
+    mixed = stored(label, f"{name}-all").withColumns({"lo": F.min("label").over(W.partitionBy("s")), "hi": F.max("label").over(W.partitionBy("s"))})
+    return stored(mixed.where("lo < hi").drop("lo", "hi"), name)
+
+
+def _linked(own: DataFrame, found: DataFrame, similarity: float) -> DataFrame:
+    """The links found by pairs, and those that are needed to connect all similar texts.
+
+    Each text meets the one of its shingle that shares most with others. What is still apart after that meets everything of
+    another component with which it has a shingle in common, so nothing that is left untested could join two components."""
+    posts = _postings(own, similarity)
+    apart = _named(posts, found, "apart")
+    shared = posts.groupBy("doc").agg((F.count("*") / F.max("n")).alias("part"))
+    hub = apart.join(shared, "doc").groupBy("s").agg(F.max_by(F.struct("doc", "label"), F.struct("part", -F.col("doc"))).alias("hub"))
+    star = apart.join(hub, "s").where("label <> hub.label").select(F.least("doc", "hub.doc").alias("x"), F.greatest("doc", "hub.doc").alias("y")).distinct()
+    tested = stored(star, "stars")
+    found = stored(found.unionByName(_similar(own, tested, similarity)), "links-stars")
+    apart = _named(apart.drop("label"), found, "still-apart")
+    most = apart.groupBy("s", "label").count().groupBy("s").agg(F.max_by("label", F.struct("count", "label")).alias("most"))
+    apart = stored(apart.join(most, "s").withColumn("minor", F.col("label") != F.col("most")).drop("most"), "minor")
+    side = lambda c: apart.select("s", *[F.col(x).alias(f"{c}_{x}") for x in ("doc", "n", "at", "label", "minor")])
+    both = side("x").where("x_minor").join(side("y"), "s").where("x_label <> y_label and (not y_minor or x_doc < y_doc) and least(x_n, y_n) + 1e-9 >= greatest(x_n, y_n) * " + repr(similarity))
+    swap = F.col("x_doc") > F.col("y_doc")
+    both = both.select(*[F.when(swap, F.col(f"{b}_{c}")).otherwise(F.col(f"{a}_{c}")).alias(f"{a}_{c}") for a, b in ("xy", "yx") for c in ("doc", "n", "at")])
+    both = both.groupBy("x_doc", "y_doc", "x_n", "y_n").agg(F.count("*").alias("c"), F.max("x_at").alias("x_at"), F.max("y_at").alias("y_at"))
+    most = F.col("c") + F.least(F.col("x_n") - F.col("x_at"), F.col("y_n") - F.col("y_at")) - 1  # common shingles at most
+    both = both.where(most + 1e-6 >= (F.col("x_n") + F.col("y_n")) * (similarity / (1 + similarity))).select(F.col("x_doc").alias("x"), F.col("y_doc").alias("y"))
+    rest = stored(both.join(tested, ["x", "y"], "left_anti"), "rest")
+    return found.unionByName(_similar(own, rest, similarity))
+
+
+def _similar(own: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
+    """The pairs whose sets of shingles have at least that Jaccard similarity."""
 
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -248,7 +328,7 @@ def _similar(docs: DataFrame, pairs: DataFrame, k: int, similarity: float) -> Da
             for x, y in zip(b.sx, b.sy, strict=True):
                 x, y = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
                 both = len(np.intersect1d(x, y, assume_unique=True))
-                fits.append(both >= similarity * (len(x) + len(y) - both))
+                fits.append(both + 1e-9 >= similarity * (len(x) + len(y) - both))
             yield b.loc[fits, ["x", "y"]].rename(columns={"x": "a", "y": "b"})
 
     both = pairs.join(own.select(F.col("doc").alias("x"), F.col("s").alias("sx")), "x").join(own.select(F.col("doc").alias("y"), F.col("s").alias("sy")), "y")
@@ -259,8 +339,9 @@ def deduplicated(docs: DataFrame, k: int = 5, radius: int = 4, similarity: float
     """docs less all but one of each group, the one of the smallest doc_id, with all columns.
 
     Five-word fingerprints of near copies at similarity 0.8 differ in some nine bits, which no small ball covers; those of word
-    sets differ in about four. So candidates come from word-set fingerprints of several seeds, and a link counts if the
-    k-word shingle sets are similar enough. Equal texts are one text. Rows without an id stay."""
+    sets of lightly edited copies differ in about four. So word-set fingerprints of several seeds give cheap links first, the rest
+    comes from rare common shingles, which no similar pair is without. A link counts if the k-word shingle sets are similar
+    enough. Equal texts are one text. Rows without an id stay."""
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -273,9 +354,12 @@ def deduplicated(docs: DataFrame, k: int = 5, radius: int = 4, similarity: float
     texts = stored(rows.groupBy("key").agg(F.min("doc_id").alias("doc"), *[F.min(x).alias(x) for x in fp]), "texts")
     found = [stored(_candidates(texts, x, radius), f"candidates-{x}") for x in fp]
     pairs = stored(reduce(DataFrame.unionByName, found).where("x < y").distinct(), "pairs")
-    later = roots(_similar(docs, pairs, k, similarity)).select(F.col("node").alias("doc"), F.lit(True).alias("linked"))
+    unique = rows.groupBy("doc_id").count().where("count > 1").isEmpty()
+    sets = _sets(docs, texts, k, not unique)
+    found = stored(_similar(sets, pairs, similarity), "links")
+    later = roots(_linked(sets, found, similarity)).select(F.col("node").alias("doc"), F.lit(True).alias("linked"))
     gone = rows.select("doc_id", "h", "key").join(texts.select("key", "doc").join(later, "doc", "left"), "key").where("linked or doc_id <> doc")
     gone = stored(gone.select(F.col("doc_id").alias("_d"), F.col("h").alias("_h")).distinct(), "near-copies")
     out = docs.join(F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone, (F.col("doc_id") == F.col("_d")) & (F.xxhash64("text") == F.col("_h")), "left_anti")
-    unique = rows.groupBy("doc_id", "key").count().where("count > 1").isEmpty()
+    unique = unique or rows.groupBy("doc_id", "key").count().where("count > 1").isEmpty()
     return out if unique else out.where("doc_id is null").unionByName(out.where("doc_id is not null").dropDuplicates(["doc_id", "text"]))

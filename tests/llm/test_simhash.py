@@ -102,3 +102,48 @@ def test_stage_keeps_one_of_each_group(spark):
     assert left.columns == df.columns
     assert sorted((x["doc_id"] for x in left.collect()), key=str) == sorted([*range(0, 36, 3), 36, 38, None], key=str)
     assert S.deduplicated(df.limit(0)).count() == 0
+
+
+def kept(spark, texts):
+    left = S.deduplicated(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    return sorted(x["doc_id"] for x in left.collect())
+
+
+def brute_kept(texts):
+    sets = [set(S.shingle_hashes(t, 5)) for t in texts]
+    by = defaultdict(list)
+    for i, s in enumerate(sets):
+        for x in s:
+            by[x].append(i)
+    linked = []
+    for i, s in enumerate(sets):
+        common = defaultdict(int)
+        for x in s:
+            for j in by[x]:
+                common[j] += j < i
+        linked += [(i, j) for j, c in common.items() if c and 10 * c >= 8 * (len(s) + len(sets[j]) - c)]
+    return sorted(set(components(range(len(texts)), linked).values()))
+
+
+def test_stage_finds_appended_and_truncated_copies_just_above_the_bound(spark):
+    r = random.Random(3)
+    words = lambda n: [f"w{int(r.paretovariate(0.7)) % 5000}" for _ in range(n)]
+    texts = []
+    for _ in range(40):
+        b = words(300)
+        texts += [" ".join(b), " ".join(b + words(72)), " ".join(words(70) + b), " ".join(b[:245]), " ".join(b + words(80))]
+    want = brute_kept(texts)
+    assert kept(spark, texts) == want and len(want) < 100
+
+
+def test_stage_connects_a_family_by_its_base(spark):
+    r = random.Random(5)
+    base = [f"b{i}" for i in range(200)]
+    texts = []
+    for n in range(400):
+        w = list(base)
+        for i in r.sample(range(200), 4):
+            w[i] = f"e{n}x{i}"
+        texts.append(" ".join(w))
+    texts.insert(200, " ".join(base))
+    assert kept(spark, texts) == brute_kept(texts)
