@@ -81,16 +81,18 @@ def without_deleted(index: DataFrame, ops: DataFrame) -> DataFrame:
 
 
 def reachable(edges: DataFrame, rounds: int = 100_000) -> DataFrame:
-    """node, ancestor, depth (least) over child-parent edges with any number of parents; UNION ends cycles."""
-    e = edges.where("child is not null and parent is not null").select("child", "parent").distinct()
-    return e.sparkSession.sql(
-        f"""WITH RECURSIVE up(node, ancestor, depth) MAX RECURSION LEVEL {rounds} AS (
-              SELECT child, parent, 1 FROM {{e}}
-              UNION ALL SELECT up.node, e.parent, up.depth + 1 FROM up JOIN {{e}} e ON e.child = up.ancestor
-                WHERE up.node <> up.ancestor AND up.depth < {min(rounds, 500)})
-            SELECT node, ancestor, min(depth) AS depth FROM up GROUP BY node, ancestor""",
-        e=e,
-    )
+    """node, ancestor, depth (least, at most `rounds`) over child-parent edges with any number of parents. Cycles end, as a pair
+    is met once: least paths of up to 2n edges are one of exactly n and another of up to n, so each turn doubles them."""
+    up = edges.where("child is not null and parent is not null").select(F.col("child").alias("node"), F.col("parent").alias("ancestor"), F.lit(1).alias("depth")).distinct()
+    shared = edges.sparkSession.sparkContext._jsc.sc().getCheckpointDir().isDefined()
+    saved = lambda df: df.checkpoint() if shared else df.localCheckpoint()
+    up, n = saved(up.where(F.lit(rounds) >= 1)), 1
+    while n < rounds and not (last := up.where(F.col("depth") == n)).isEmpty():
+        far = up.select(F.col("node").alias("ancestor"), F.col("ancestor").alias("_up"), F.col("depth").alias("_more"))
+        more = last.join(far, "ancestor").select("node", F.col("_up").alias("ancestor"), (F.col("depth") + F.col("_more")).alias("depth"))
+        up = saved(up.unionByName(more.where(F.col("depth") <= rounds)).groupBy("node", "ancestor").agg(F.min("depth").alias("depth")))
+        n *= 2
+    return up
 
 
 def snapshot(ops: DataFrame, at: int) -> DataFrame:

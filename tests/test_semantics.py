@@ -158,3 +158,12 @@ def test_adjudication(spark, rows):
     assert rows(X.unaudited(t, t.where("i = 1"), "i"), "i") == [(2,)]
     d = X.paired_delta(spark.createDataFrame([(1, 0.1), (2, 0.2)], "k int, w double"), spark.createDataFrame([(1, 0.2), (2, 0.3), (3, 9.0)], "k int, w double"), "k", "w").first()
     assert d["n"] == 2 and abs(d["delta"] - 0.1) < 1e-9 and d["bound"] >= d["delta"] - 1e-9
+
+
+def test_reachable_has_no_hidden_depth(spark):
+    e = spark.createDataFrame([(i, i + 1) for i in range(700)] + [(900, 901), (901, 900)], "child long, parent long")
+    up = M.reachable(e)
+    far = up.where("node = 0").agg(F.max("depth"), F.count("*"), F.max("ancestor")).first()
+    assert tuple(far) == (700, 700, 700) and up.where("node < 800").count() == 700 * 701 // 2
+    assert sorted(map(tuple, up.where("node >= 900").collect())) == [(900, 900, 2), (900, 901, 1), (901, 900, 1), (901, 901, 2)]
+    assert M.reachable(e, 3).agg(F.max("depth")).first()[0] == 3
