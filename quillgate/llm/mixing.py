@@ -3,8 +3,8 @@ r"""Mixing sources to target weights by iterative proportional fitting, in DataF
 Documents are counted into cells (source, language, topic) with their tokens; a task sums before anything is shuffled, so a hot
 source costs one row a task. Raking multiplies the cells' factors, one margin after the other, until every margin of the
 weighted tokens has its target share; the cell table is checkpointed each round. A cell's documents are then drawn with
-probability min(1, c x factor), where c makes the expected tokens `keep` times all tokens: cells that would need more
-than they have are taken whole. A document is drawn by a hash of its id, so a rerun or a lost executor draws the same.
+a probability, `keep` times its factor where no cell needs more than it has. Else full cells stay at 1 and the others are
+raked again, until the margins of the expected tokens hold; `keep` shrinks where no draw of its size has them. A document is drawn by a hash of its id, so a rerun or a lost executor draws the same.
 
 Where no targets are given, a margin's target is its own share to the power `alpha`, normalised: below 1, small sources and
 languages gain. Topics come from fixed rules over the text (`topic_of`).
@@ -26,6 +26,7 @@ DIMS = ("source", "lang", "topic")
 NONE = "(none)"
 ALPHA, KEEP, SEED = 0.7, 0.5, 20
 TOLERANCE, ROUNDS = 1e-6, 60
+BOUND_TOLERANCE, BOUND_ROUNDS = 5e-4, 24
 #: Cells that may be broadcast: about 200 bytes each.
 BROADCAST_CELLS = 100_000
 
@@ -90,19 +91,56 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame] | None = None, alpha: f
     return cells
 
 
+def _bounded(cells: DataFrame, total: float, keep: float) -> tuple[DataFrame, float]:
+    """cells with prob at most 1, and how far (in shares) a margin of tokens x prob is from its target.
+
+    prob = min(1, a product of one multiplier for each margin's value). A margin's turn multiplies by what the cells that aren't
+    full must carry beyond the full ones; a value whose cells are all full stays, one whose full cells are too much shrinks."""
+    cells, full, off = cells.withColumn("g", F.col("factor") * keep), F.col("g") >= 1, 1.0
+    for n in range(1, BOUND_ROUNDS + 1):
+        for d in DIMS:
+            over = W.partitionBy(d)
+            want = F.col(f"target_{d}") * keep * total
+            whole = F.sum(F.when(full, F.col("tokens")).otherwise(0.0)).over(over)
+            rest = F.sum(F.when(full, 0.0).otherwise(F.col("tokens") * F.col("g"))).over(over)
+            got = F.sum(F.col("tokens") * F.least(F.lit(1.0), "g")).over(over)
+            turn = F.when(whole < want, F.coalesce(F.try_divide(want - whole, rest), F.lit(1.0))).otherwise(F.coalesce(F.try_divide(want, got), F.lit(1.0)))
+            cells = cells.withColumn("turn", turn).withColumn("g", F.col("g") * F.col("turn")).drop("turn")
+        if n % 2 == 0:
+            cells = checkpointed(cells)
+        if n % 4 == 0:
+            off = margins(cells.withColumn("prob", F.least(F.lit(1.0), "g"))).agg(F.max(F.abs(F.col("share") - F.col("target")))).first()[0] or 0.0
+            if off < BOUND_TOLERANCE:
+                break
+    return cells.withColumn("prob", F.least(F.lit(1.0), "g")).drop("g"), off
+
+
 def probabilities(raked: DataFrame, keep: float = KEEP) -> DataFrame:
-    """raked with prob = min(1, c x factor), where the expected tokens are `keep` of all, or all that have weight."""
+    """raked with prob, where the expected tokens are `keep` of all and have the target margins. If no draw of that size has
+    them, the size shrinks until one has: to what the scarcest value allows, then by a tenth at a time."""
     total = raked.agg(F.sum("tokens")).first()[0] or 0.0
-    c, want = 0.0, keep * total
-    while total:  # each turn takes more cells whole; it ends when no cell is added
-        x = raked.agg(F.sum(F.when(F.col("factor") * c >= 1, F.col("tokens")).otherwise(0.0)).alias("whole"), F.sum(F.when(F.col("factor") * c < 1, F.col("tokens") * F.col("factor")).otherwise(0.0)).alias("rest")).first()
-        if not x["rest"]:
-            break
-        new = (want - x["whole"]) / x["rest"]
-        if new <= c * (1 + 1e-12):
-            break
-        c = new
-    return raked.withColumn("prob", F.least(F.lit(1.0), F.col("factor") * c))
+    if not total:
+        return raked.withColumn("prob", F.col("factor") * 0.0)
+    room = [raked.groupBy(d).agg(F.try_divide(F.sum("tokens"), F.max(f"target_{d}") * total).alias("room")).select("room") for d in DIMS]
+    most = room[0].unionByName(room[1]).unionByName(room[2]).agg(F.min("room")).first()[0] or 1.0
+    free = 1 / (raked.where("tokens > 0").agg(F.max("factor")).first()[0] or 1.0)  # no cell is full up to here
+    size = min(keep, most)
+    if raked.count() <= BROADCAST_CELLS:
+        raked = checkpointed(raked.coalesce(1))  # no shuffle in a round
+    while size > free:
+        out, off = _bounded(raked, total, size)
+        if off < BOUND_TOLERANCE:
+            return out
+        size *= 0.9
+    return raked.withColumn("prob", F.least(F.lit(1.0), F.col("factor") * min(size, free)))
+
+
+def margins(cells: DataFrame) -> DataFrame:
+    """dim, value, target and share (of the expected tokens) of cells with prob."""
+    kept = F.col("tokens") * F.col("prob")
+    shares = [cells.groupBy(d).agg(F.max(f"target_{d}").alias("target"), F.sum(kept).alias("kept")).select(F.lit(d).alias("dim"), F.col(d).alias("value"), "target", "kept") for d in DIMS]
+    out = shares[0].unionByName(shares[1]).unionByName(shares[2])
+    return out.withColumn("share", F.try_divide("kept", F.sum("kept").over(W.partitionBy("dim")))).drop("kept")
 
 
 def draw(doc_id: Column, seed: int = SEED) -> Column:

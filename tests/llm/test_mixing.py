@@ -59,3 +59,21 @@ def test_cases(docs, no_docs):
     assert M.mix(docs).count() == docs.count() and M.mix(no_docs).count() == 0
     assert M.mix(docs.where("text is null")).count() == 1
     assert M.mix(docs.drop("source", "lang")).count() == docs.count()
+
+
+def worst(p):
+    return max(abs(r["share"] - r["target"]) for r in M.margins(p).collect())
+
+
+def test_margins_hold_for_what_is_drawn_though_cells_are_full(spark, many):
+    raked = M.rake(M.cells_of(many)).cache()
+    assert raked.agg(F.max("factor")).first()[0] * M.KEEP > 1
+    p = M.probabilities(raked).cache()
+    assert worst(p) < 1e-3 and p.agg(F.max("prob")).first()[0] <= 1
+    assert p.agg(F.sum(F.col("tokens") * F.col("prob")) / F.sum("tokens")).first()[0] == pytest.approx(M.KEEP, rel=1e-3)
+
+
+def test_size_shrinks_where_targets_need_more_than_there_is(spark, many):
+    targets = {"source": spark.createDataFrame([("s3", 8.0), ("s0", 1.0), ("s1", 1.0)], "source string, share double")}
+    p = M.probabilities(M.rake(M.cells_of(many), targets)).cache()
+    assert worst(p) < 1e-3 and 0 < p.agg(F.sum(F.col("tokens") * F.col("prob")) / F.sum("tokens")).first()[0] < 0.13
