@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import gc
 import tempfile
-import time
 import uuid
 from collections.abc import Iterable, Iterator
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,13 +49,6 @@ def dropped(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def settle(spark: SparkSession) -> None:
-    """Has the JVM collect its garbage, after which Spark's cleaner removes shuffle files that no plan refers to."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-    time.sleep(0.5)
-
-
 def checkpointed(df: DataFrame) -> DataFrame:
     shared_dir(df.sparkSession)
     return df.checkpoint()
@@ -85,3 +78,16 @@ def slices(texts: Iterable[str], limit: int) -> Iterator[list[int]]:
         size += len(t)
     if run:
         yield run
+
+
+def arrow_runs(batch: pa.RecordBatch, text: str, limit: int) -> Iterator[pa.RecordBatch]:
+    """Runs of rows whose texts have about limit bytes together; a longer text is a run of its own."""
+    size = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_pylist()
+    a, total = 0, 0
+    for i, n in enumerate(size):
+        if i > a and total + n > limit:
+            yield batch.slice(a, i - a)
+            a, total = i, 0
+        total += n
+    if a < batch.num_rows:
+        yield batch.slice(a)

@@ -47,3 +47,43 @@ def test_files_read_back_in_order(spark, docs, no_docs, monkeypatch):
     assert T.digests(spark, T.write(no_docs, PATH)).count() == 0
     ranks = spark.read.parquet(f"{files.path}/ranks").orderBy("rank").collect()
     assert [r["n"] for r in ranks] == sorted((r["n"] for r in ranks), reverse=True)
+
+
+def test_a_full_table_forgets_and_runs_cut_no_word(monkeypatch):
+    monkeypatch.setattr(T, "KNOWN", 40)
+    monkeypatch.setattr(T, "CHARS", 64)
+    r = np.random.default_rng(0)
+    parts = ["the", "THE", "réa", "É", "it's", "'s", "x" * 20, "日本。", ".", "12", "<|endoftext|>", "<|EndOfText|>", "a\x00b", " "] + [f"w{chr(97 + i)}{chr(97 + j)}" for i in range(9) for j in range(9)]
+    texts = [str(between).join(r.choice(parts, r.integers(0, 60))) for between in (" ", "", "\n") for _ in range(40)]
+    own = T.WordIds(PATH)
+    for _ in range(2):
+        ids, n = own.encode(texts)
+        at = np.concatenate(([0], np.cumsum(n)))
+        for t, a, z in zip(texts, at, at[1:], strict=False):
+            assert ids[a:z].tolist() == WHOLE.encode(t, add_special_tokens=False).ids
+    assert own.n < 40 + 200
+
+
+def test_registered_query_against_the_tokenizer(spark):
+    import pyarrow.parquet as pq
+
+    from quillgate.llm.queries import QUERIES
+
+    rows = sorted(pq.read_table("/root/testdata/sf0.001/documents.parquet").select(["doc_id", "text"]).to_pylist(), key=lambda r: r["doc_id"])
+    want, start = [], 0
+    for r in rows:
+        ids = WHOLE.encode(r["text"] or "", add_special_tokens=False).ids + [2]
+        want.append((r["doc_id"], start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    got = QUERIES["op9_token_output"](spark, "/root/testdata/sf0.001").collect()
+    assert sorted(tuple(r) for r in got) == want
+
+
+def test_ids_beyond_doubles_and_hot_ids(spark):
+    big = 2**53 + 1
+    rows = [(big, f"text {i}") for i in range(30)] + [(None, "a"), (None, "b"), (big + 1, "c")]
+    got = T.digests(spark, T.write(spark.createDataFrame(rows, "doc_id long, text string"), PATH)).collect()
+    assert sorted((r["doc_id"] or 0) for r in got) == [0, 0] + [big] * 30 + [big + 1]
+    by_start = sorted(got, key=lambda r: r["start"])
+    assert [r["start"] for r in by_start] == np.cumsum([0] + [r["n_tokens"] for r in by_start[:-1]]).tolist()
+    assert [r["doc_id"] or 0 for r in by_start] == sorted(r["doc_id"] or 0 for r in got)
