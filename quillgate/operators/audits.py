@@ -7,6 +7,7 @@ in order is what a run that stops early would report.
 
 from __future__ import annotations
 
+import json
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -68,13 +69,22 @@ def invariants(row: DataFrame, named: dict[str, Column]) -> DataFrame:
     return failures(one.unpivot([], list(named), "what", "ok").where("not ok"), "what", F.lit("doesn't hold"))
 
 
+PARTS_MOST = 10_000
+
+
 def lacking(texts: DataFrame, parts: DataFrame, fold: bool = False) -> DataFrame:
-    """Documents (path, raw) that lack one of the wanted texts (path, part); a path of null wants it in every document.
-    parts is a short list, so it is broadcast."""
-    t, p = texts.alias("t"), F.broadcast(parts.alias("p"))
-    both = p.join(t, F.col("p.path").isNull() | (F.col("p.path") == F.col("t.path")), "left")
-    low = F.lower if fold else (lambda c: F.col(c))
-    return failures(both.where(~F.coalesce(F.contains(low("t.raw"), low("p.part")), F.lit(False))), F.coalesce("t.path", "p.path"), "p.part")
+    """Documents (path, raw) that lack one of the wanted texts (path, part); a path of null wants it in every document. Wanted
+    texts are collected by path, so each document is read once; those for every document are a short list (`PARTS_MOST`)."""
+    low = F.lower if fold else (lambda c: F.col(c) if isinstance(c, str) else c)
+    every = [x["part"] for x in parts.where("path is null").select("part").distinct().limit(PARTS_MOST + 1).collect()]
+    if len(every) > PARTS_MOST:
+        raise ValueError("too many texts are wanted in every document")
+    own = parts.where("path is not null").groupBy("path").agg(F.collect_set("part").alias("wanted"))
+    both = texts.join(own, "path", "full_outer")
+    common = F.when(F.col("raw").isNotNull(), F.array(*map(F.lit, every)).cast("array<string>")).otherwise(F.array().cast("array<string>"))
+    want = F.array_union(F.coalesce("wanted", F.array().cast("array<string>")), common)
+    lack = F.filter(want, lambda x: ~F.coalesce(F.contains(low("raw"), low(x)), F.lit(False)))
+    return failures(both.select("path", F.explode(lack).alias("part")), "path", "part")
 
 
 def count_is(df: DataFrame, least: int, most: int | None = None) -> DataFrame:
@@ -104,29 +114,27 @@ def forbidden_keys(docs: DataFrame, prohibited: list[str]) -> DataFrame:
     return failures(nodes.where(F.col("key").isin(*prohibited)), "name", "path")
 
 
+#: What a sound binding may be.
+PREPARATION, RELEASE = "release-preparation", "release-commit"
+#: What can be wrong with one, by code.
+BINDING_FAULTS = {"unknown": "no such commit", "unreached": "the release doesn't descend from it", "not the parent": "the release's first parent is another commit"}
+
+
 def binding(commits: DataFrame, definition: str, release: str, allow_preparation: bool = True) -> DataFrame:
-    """One row: mode (release-preparation or release-commit) or error, of a definition commit for a release commit."""
-    spark = commits.sparkSession
-    known = commits.select("sha")
-    parent = commits.where(F.col("sha") == release).agg(F.min_by("parent", F.coalesce("nth", F.lit(0))) if "nth" in commits.columns else F.first("parent", ignorenulls=True)).first()[0]
-    exists = not known.where(F.col("sha") == definition).isEmpty()
-    reaches = exists and not ancestors(commits, release).where(F.col("sha") == definition).isEmpty()
-    error = mode = None
-    if not exists:
-        error = f"definition_commit is not a commit object: {definition}"
-    elif not reaches:
-        error = "definition_commit is not an ancestor of the release commit"
-    elif allow_preparation and definition == release:
-        mode = "release-preparation"
-    elif parent != definition:
-        error = f"definition_commit must equal release commit parent: expected {definition}, actual {parent or 'no-parent'}"
-    else:
-        mode = "release-commit"
-    return spark.createDataFrame([(mode, error)], "mode string, error string")
+    """One row: fault (a code of BINDING_FAULTS, or null), mode if there is none, and the release's first parent. commits: sha,
+    parent, and nth where a commit has several parents."""
+    nth = F.coalesce("nth", F.lit(0)) if "nth" in commits.columns else F.lit(0)
+    facts = commits.agg(F.count_if(F.col("sha") == definition).alias("known"), F.min_by("parent", F.when((F.col("sha") == release) & F.col("parent").isNotNull(), nth)).alias("parent"))
+    reach = ancestors(commits, release).agg(F.count_if(F.col("sha") == definition).alias("met"))
+    same, parent = F.lit(allow_preparation and definition == release), F.col("parent")
+    fault = F.when(F.col("known") == 0, "unknown").when(F.col("met") == 0, "unreached").when(~same & ~parent.eqNullSafe(F.lit(definition)), "not the parent")
+    one = facts.crossJoin(F.broadcast(reach)).select(fault.alias("fault"), "parent")  # aggregates without groups: one row each
+    return one.select("fault", F.when(F.col("fault").isNull(), F.when(same, PREPARATION).otherwise(RELEASE)).alias("mode"), "parent")
 
 
 def binding_failures(bound: DataFrame) -> DataFrame:
-    return failures(bound.where("error is not null"), F.lit("binding"), "error")
+    says = F.create_map(*[F.lit(x) for kv in BINDING_FAULTS.items() for x in kv])[F.col("fault")]
+    return failures(bound.where("fault is not null"), "fault", F.concat(says, F.lit(", parent: "), F.coalesce("parent", F.lit("none"))))
 
 
 def hash_mismatches(recorded: DataFrame, blobs: DataFrame, commit: str) -> DataFrame:
@@ -232,3 +240,19 @@ def lacking_values(message: DataFrame, wanted: list[str]) -> DataFrame:
     """Wanted texts that a message (text) lacks."""
     w = values(message.sparkSession, wanted, "part")
     return failures(w.join(message, F.contains(F.col("text"), F.col("part")), "left_anti"), F.lit("message"), "part")
+
+
+def locked_values(docs: DataFrame, locked: dict[str, tuple[str, str, object]]) -> DataFrame:
+    """locked: name of the rule to document name, JSON path and the value that must stand there. Each that doesn't hold; a
+    document that is missing fails all its rules. docs: name, raw. One pass, one row."""
+    if not locked:
+        return failures(docs.limit(0), "name", "name")
+    held = {k: F.max(F.when(F.col("name") == d, F.to_json(F.try_variant_get(F.try_parse_json("raw"), path, "variant")) == json.dumps(v, separators=(",", ":"), ensure_ascii=False))) for k, (d, path, v) in locked.items()}
+    return invariants(docs.agg(*[c.alias(f"h{i}") for i, c in enumerate(held.values())]), {k: F.col(f"h{i}") for i, k in enumerate(held)})
+
+
+def tag_facts(tags: DataFrame, name: str, target: str | None) -> DataFrame:
+    """exists, annotated, resolves that don't hold for a tag (name, object, peeled)."""
+    own = tags.where(F.col("name") == name)
+    kinds = {"exists": F.count("*") == 1, "annotated": F.max("peeled").isNotNull(), "resolves": F.max("peeled") == F.lit(target)}
+    return invariants(own.agg(*[c.alias(k) for k, c in kinds.items()]), {k: F.col(k) for k in kinds})

@@ -86,6 +86,29 @@ def lateness(frames: DataFrame, key: str, presented: str, arrived: str, delay_ms
     return frames.withColumn("late", F.coalesce(ms < F.max(ms).over(w) - delay_ms, F.lit(False)))
 
 
+def jitter_buffer(frames: DataFrame, key: str, presented: str, arrived: str, delay_ms: int) -> DataFrame:
+    """Frames as a buffer of so much delay plays them: late ones are dropped, the rest in order of presentation, with position
+    (from 1) and reordered (whether one presented later came first)."""
+    w = W.partitionBy(key).orderBy(arrived).rowsBetween(W.unboundedPreceding, -1)
+    own = lateness(frames, key, presented, arrived, delay_ms).withColumn("reordered", F.coalesce(F.col(presented) < F.max(presented).over(w), F.lit(False)))
+    return own.where("not late").withColumn("position", F.row_number().over(W.partitionBy(key).orderBy(presented, arrived))).drop("late")
+
+
+def jitter_counts(frames: DataFrame, key: str, presented: str, arrived: str, delay_ms: int) -> DataFrame:
+    """key, frames, dropped (late), reordered (kept, though one presented later came first)."""
+    w = W.partitionBy(key).orderBy(arrived).rowsBetween(W.unboundedPreceding, -1)
+    own = lateness(frames, key, presented, arrived, delay_ms).withColumn("_r", F.coalesce(F.col(presented) < F.max(presented).over(w), F.lit(False)))
+    return own.groupBy(key).agg(F.count("*").alias("frames"), F.count_if("late").alias("dropped"), F.count_if(F.col("_r") & ~F.col("late")).alias("reordered"))
+
+
+def bounded_queue(events: DataFrame, key: str, order: str, progress: Column, most: int) -> DataFrame:
+    """What a queue of `most` places for progress hands on: runs of progress are coalesced, then only the last `most` progress
+    events of a key stay. Other events are never dropped."""
+    e = coalesced_progress(events.withColumn("_is", F.coalesce(progress, F.lit(False))), key, order, F.col("_is"))
+    after = W.partitionBy(key, "_is").orderBy(F.desc(order))
+    return e.withColumn("_n", F.row_number().over(after)).where(~F.col("_is") | (F.col("_n") <= most)).drop("_is", "_n")
+
+
 def coalesced_progress(events: DataFrame, key: str, order: str, progress: Column) -> DataFrame:
     """Of each run of progress events only the last stays; all others stay."""
     following = F.lead("_p").over(W.partitionBy(key).orderBy(order))
@@ -132,3 +155,14 @@ def permitted(requests: DataFrame, grants: DataFrame, key: str) -> DataFrame:
     """requests with allowed: levels are equal, never inherited. requests: key, requested; grants: key, permission."""
     g = grants.select(key, F.col("permission").alias("requested"), F.lit(True).alias("_ok")).distinct()
     return requests.join(g, [key, "requested"], "left").withColumn("allowed", F.coalesce("_ok", F.lit(False))).drop("_ok")
+
+
+def rechecked(tasks: DataFrame, grants: DataFrame, targets: DataFrame, key: str = "user_id") -> DataFrame:
+    """Tasks as the scheduler sees them when they are due: allowed, and the first reason against. The latest grant at or before the
+    task's time must be active and of the very level that the task asks for, the task itself active, its target still there.
+    tasks: key, task_id, at, status, permission, target; grants: key, grant_id, at, grant_status, granted; targets: target."""
+    held = asof(tasks, grants, key, "at", "at", ["grant_status", "granted"], "grant_id")
+    there = targets.select("target", F.lit(True).alias("_there")).distinct()
+    t = held.join(there, "target", "left")
+    reason = F.when(F.col("status") != "active", "status").when(F.col("asof_grant_status").isNull(), "no grant").when(F.col("asof_grant_status") != "active", "grant").when(~F.col("asof_granted").eqNullSafe(F.col("permission")), "permission").when(F.col("_there").isNull(), "target")
+    return t.withColumn("reason", reason).withColumn("allowed", F.col("reason").isNull()).drop("_there", "asof_grant_status", "asof_granted")

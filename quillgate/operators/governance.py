@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quillgate.tables import checkpointed
+
 # Rights that allow acceptance.
 CLEARED = ("owned", "licensed", "permitted")
 
@@ -43,12 +45,10 @@ def split(rows: DataFrame, root: Column | str, train_share: int = 80) -> DataFra
 
 def lineage_roots(derived: DataFrame) -> DataFrame:
     """id, root: the least id of each lineage (a component of child-parent edges). Labels spread by joins; each round is
-    checkpointed if the session has a folder for that."""
+    checkpointed."""
     e = derived.where("child is not null and parent is not null").select(F.col("child").alias("a"), F.col("parent").alias("b"))
     e = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
-    spark = derived.sparkSession
-    keep = bool(spark.conf.get("spark.checkpoint.dir", None)) or spark.sparkContext._jsc.sc().getCheckpointDir().isDefined()
-    e = e.checkpoint() if keep else e
+    e = checkpointed(e)
     label = e.select(F.col("a").alias("id")).distinct().withColumn("root", F.col("id"))
     while True:
         near = e.join(label.withColumnRenamed("id", "b"), "b").groupBy(F.col("a").alias("id")).agg(F.min("root").alias("m"))
@@ -56,7 +56,7 @@ def lineage_roots(derived: DataFrame) -> DataFrame:
         # the root's own root, so that long chains halve
         up = new.select(F.col("id").alias("root"), F.col("root").alias("up"))
         new = new.join(up, "root").select("id", F.col("up").alias("root"), (F.col("moved") | (F.col("up") < F.col("root"))).alias("moved"))
-        new = new.checkpoint() if keep else new.cache()
+        new = checkpointed(new)
         if new.where("moved").isEmpty():
             return new.select("id", "root")
         label = new.select("id", "root")

@@ -7,20 +7,49 @@ the latest delete. A null order column or memory_id is no operation.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from quillgate.operators.graphs import closure
+
 # Evidence classes, most trusted first.
 TRUST = ("user_correction", "user_statement", "tool_observation", "repeated_observation", "session_event", "model_inference")
 ENDED = {"supersede": "superseded", "reject": "rejected", "delete": "deleted"}
 
 
+class Memory:
+    """Memory tables behind the namespace filter: whoever holds a Memory reads one user's rows with one character, whatever the
+    table. Null namespaces match nothing, and a table without both columns is refused."""
+
+    def __init__(self, tables: dict[str, DataFrame], user: str, character: str):
+        for name, df in tables.items():
+            if not {"user_id", "character_id"} <= set(df.columns):
+                raise ValueError(f"{name} has no namespace")
+        self._read = lambda name: in_namespace(tables[name], user, character)
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return self._read(name)
+
+    def sql(self, query: str) -> DataFrame:
+        """A query over the tables by name, each already filtered: {records} stands for the table records."""
+        names = set(re.findall(r"\{(\w+)\}", query))
+        frames = {n: self[n] for n in names}
+        return next(iter(frames.values())).sparkSession.sql(query, **frames)
+
+
 def in_namespace(table: DataFrame, user: str, character: str) -> DataFrame:
-    """The only way to read memory: one user's with one character. Null namespaces match nothing."""
+    """One user's rows with one character. Null namespaces match nothing."""
     return table.where((F.col("user_id") == user) & (F.col("character_id") == character))
 
 
+def disclosed(read: DataFrame, user: str, character: str) -> DataFrame:
+    """Rows of an answer that belong to another namespace, or to none: there must be none."""
+    return read.where(~F.coalesce((F.col("user_id") == user) & (F.col("character_id") == character), F.lit(False)))
+
+
 def states(ops: DataFrame) -> DataFrame:
     """Every operation with revision, status and value after it. A restore takes the state that the latest delete ended: among
     operations other than restores, the last one before it that isn't a delete."""
@@ -81,18 +110,8 @@ def without_deleted(index: DataFrame, ops: DataFrame) -> DataFrame:
 
 
 def reachable(edges: DataFrame, rounds: int = 100_000) -> DataFrame:
-    """node, ancestor, depth (least, at most `rounds`) over child-parent edges with any number of parents. Cycles end, as a pair
-    is met once: least paths of up to 2n edges are one of exactly n and another of up to n, so each turn doubles them."""
-    up = edges.where("child is not null and parent is not null").select(F.col("child").alias("node"), F.col("parent").alias("ancestor"), F.lit(1).alias("depth")).distinct()
-    shared = edges.sparkSession.sparkContext._jsc.sc().getCheckpointDir().isDefined()
-    saved = lambda df: df.checkpoint() if shared else df.localCheckpoint()
-    up, n = saved(up.where(F.lit(rounds) >= 1)), 1
-    while n < rounds and not (last := up.where(F.col("depth") == n)).isEmpty():
-        far = up.select(F.col("node").alias("ancestor"), F.col("ancestor").alias("_up"), F.col("depth").alias("_more"))
-        more = last.join(far, "ancestor").select("node", F.col("_up").alias("ancestor"), (F.col("depth") + F.col("_more")).alias("depth"))
-        up = saved(up.unionByName(more.where(F.col("depth") <= rounds)).groupBy("node", "ancestor").agg(F.min("depth").alias("depth")))
-        n *= 2
-    return up
+    """node, ancestor, depth (least, at most `rounds`) over child-parent edges of a commit graph with any number of parents."""
+    return closure(edges, rounds)
 
 
 def snapshot(ops: DataFrame, at: int) -> DataFrame:

@@ -106,7 +106,7 @@ def top_neighbours(queries: DataFrame, items: DataFrame, k: int = 10, within: tu
     """query_id, id, rank by cosine among items of the query's own namespace columns, itself apart. queries, items: id, v and
     the namespace columns. A namespace's items meet its queries alone."""
     q = queries.select(F.col("id").alias("query_id"), F.col("v").alias("q"), *within)
-    pairs = q.join(items.select("id", "v", *within), list(within)) if within else q.join(F.broadcast(items), q["query_id"].isNotNull())
+    pairs = q.join(items.select("id", "v", *within), list(within)) if within else q.crossJoin(items.select("id", "v"))  # a stated query set against all rows
     s = pairs.where("query_id <> id").select("query_id", "id", *within, F.round(cosine("q", "v"), 9).alias("score"))
     w = W.partitionBy("query_id").orderBy(F.desc_nulls_last("score"), "id")
     return s.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
@@ -119,6 +119,16 @@ def recall_at(found: DataFrame, truth: DataFrame, k: int = 10) -> DataFrame:
     return per.agg(F.count("*").alias("queries"), F.avg("r").alias("recall"))
 
 
+def recall_of(found: DataFrame, queries: DataFrame, items: DataFrame, relevant: Column, within: tuple[str, ...] = (), k: int = 10) -> DataFrame:
+    """queries, recall, where what is relevant is a condition on an item's id: counted by namespace, never listed as pairs. found:
+    query_id, id, rank of top_neighbours(); queries without a relevant item but themselves have no recall."""
+    n = items.groupBy(*within).agg(F.count_if(relevant).alias("n"))
+    asked = queries.select(*within, F.col("id").alias("query_id"), F.coalesce(relevant, F.lit(False)).cast("long").alias("_self"))
+    total = (asked.join(n, list(within)) if within else asked.crossJoin(F.broadcast(n))).select("query_id", (F.col("n") - F.col("_self")).alias("n")).where("n > 0")
+    hits = found.where(F.col("rank") <= k).groupBy("query_id").agg(F.count_if(relevant).alias("hits"))
+    return total.join(hits, "query_id", "left").agg(F.count("*").alias("queries"), F.avg(F.coalesce("hits", F.lit(0)) / F.col("n")).alias("recall"))
+
+
 def provenance(records: DataFrame, evidence: DataFrame, id_col: str = "id", refs: str = "evidence") -> DataFrame:
     """n, covered, coverage: records with evidence, all of which resolves. evidence: evidence_id."""
     each = records.select(id_col, F.explode_outer(refs).alias("evidence_id"))
@@ -128,9 +138,32 @@ def provenance(records: DataFrame, evidence: DataFrame, id_col: str = "id", refs
 
 
 def latency(pairs: DataFrame, start: str, end: str, by: list[str] | None = None, q: float = 0.95) -> DataFrame:
-    """n and the exact interpolated quantile in microseconds of end - start."""
+    """n and the exact interpolated quantile in microseconds of end - start.
+
+    A histogram (16 steps for each doubling, a few hundred rows a group) tells in which steps the two values lie that the quantile is
+    between; only those steps' distinct values are ranked, so no task holds a group's values."""
     us = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
-    return pairs.withColumn("_us", us(end) - us(start)).groupBy(*(by or [])).agg(F.count("_us").alias("n"), F.percentile("_us", F.lit(q)).alias("quantile_us"))
+    by = by or []
+    v = pairs.select(*by, (us(end) - us(start)).alias("_v"))
+    step = F.when(F.col("_v") == 0, 0).otherwise(F.signum("_v") * (F.floor(F.log2(F.abs("_v").cast("double")) * 16) + 1)).cast("int")
+    counts = v.where("_v is not null").groupBy(*by, "_v", step.alias("_s")).agg(F.count("*").alias("_c"))
+    steps = counts.groupBy(*by, "_s").agg(F.sum("_c").alias("_c"))
+    up_to = W.partitionBy(*by).orderBy("_s").rowsBetween(W.unboundedPreceding, W.currentRow)
+    steps = steps.withColumn("_to", F.sum("_c").over(up_to)).withColumn("_n", F.sum("_c").over(W.partitionBy(*by)))
+    at = (F.col("_n") - 1) * F.lit(q)
+    low, high = F.floor(at), F.ceil(at)
+    wanted = steps.where((F.col("_to") > low) & (F.col("_to") - F.col("_c") <= high))
+    wanted = wanted.select(*[F.col(c).alias(f"_by{i}") for i, c in enumerate(by)], F.col("_s").alias("_step"), (F.col("_to") - F.col("_c")).alias("_before"), "_n")
+    same = [F.col(c).eqNullSafe(F.col(f"_by{i}")) for i, c in enumerate(by)] + [F.col("_s") == F.col("_step")]
+    near = counts.join(wanted, reduce(Column.__and__, same)).select(*by, "_s", "_v", "_c", "_before", "_n")
+    near = near.withColumn("_to", F.col("_before") + F.sum("_c").over(W.partitionBy(*by, "_s").orderBy("_v").rowsBetween(W.unboundedPreceding, W.currentRow)))
+    pick = lambda rank: F.min(F.when(F.col("_to") > rank, F.col("_v")))
+    found = near.groupBy(*by).agg(F.max("_n").alias("_n"), pick(low).alias("_x"), pick(high).alias("_y"))
+    part = at - low
+    found = found.select(*[F.col(c).alias(f"_by{i}") for i, c in enumerate(by)], (F.col("_x") + (F.col("_y") - F.col("_x")) * part).alias("quantile_us"))
+    total = v.groupBy(*by).agg(F.count("_v").alias("n"))
+    on = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_by{i}")) for i, c in enumerate(by)], F.lit(True))
+    return total.join(found if by else F.broadcast(found), on, "left").select(*by, "n", "quantile_us")
 
 
 def growth(samples: DataFrame, by: str, at: str, value: str, run: int) -> DataFrame:
@@ -183,3 +216,39 @@ def promotion(now: DataFrame, before: DataFrame, hard: list[str]) -> DataFrame:
     x = now.join(b, "evaluation_id", "full_outer").withColumn("passed", F.coalesce("passed", F.lit(False)))
     counts = x.agg(F.count_if(~F.col("passed")).alias("failed"), F.count_if(~F.col("passed") & F.coalesce("was", F.lit(False))).alias("regressed"), F.count_if(~F.col("passed") & F.col("evaluation_id").isin(*(hard or [""]))).alias("hard_failed"))
     return counts.select(reduce(Column.__and__, [F.col(c) == 0 for c in ("failed", "regressed", "hard_failed")]).alias("promoted"), "failed", "regressed", "hard_failed")
+
+
+def naturalness(scores: DataFrame, base: DataFrame, key: str, score: str, timbre: str, least: float, margin: float) -> DataFrame:
+    """n, mean, lower, timbre_lower, passed: the mean score's lower bound reaches `least`, and timbre is no worse than the base's by
+    more than the margin (lower bound of the paired difference)."""
+    own = scores.agg(F.count(score).alias("n"), F.avg(score).alias("mean"), F.stddev_samp(score).alias("s"))
+    own = own.select("n", "mean", mean_bound(F.col("mean"), F.coalesce("s", F.lit(0.0)), F.col("n")).alias("lower"))
+    pair = paired_delta(base, scores, key, timbre, upper=False).select(F.col("bound").alias("timbre_lower"))
+    both = own.crossJoin(F.broadcast(pair))  # one row each
+    return both.withColumn("passed", F.coalesce((F.col("lower") >= least) & (F.col("timbre_lower") >= -margin), F.lit(False)))
+
+
+def preference(rows: DataFrame, preferred: Column, stratum: str, least: float, floor: float) -> DataFrame:
+    """n, hits, lower, collapsed, passed: the preference rate's lower bound reaches `least`, and no stratum's rate is under `floor`."""
+    per = rows.groupBy(stratum).agg(F.count("*").alias("n"), F.coalesce(F.sum(preferred.cast("long")), F.lit(0)).alias("hits"))
+    one = per.agg(F.sum("n").alias("n"), F.sum("hits").alias("hits"), F.count_if(F.col("hits") / F.col("n") < floor).alias("collapsed"))
+    one = one.withColumn("lower", wilson(F.col("hits"), F.col("n")))
+    return one.withColumn("passed", F.coalesce((F.col("lower") >= least) & (F.col("collapsed") == 0), F.lit(False)))
+
+
+def tool_completion(calls: DataFrame, evidence: DataFrame, completed: Column, least: float, id_col: str = "id", refs: str = "evidence") -> DataFrame:
+    """n, hits, lower, unexplained, passed: the completion rate's lower bound reaches `least`, and every call that failed has
+    evidence, all of which resolves."""
+    done = rate(calls, completed).select("n", "hits", "lower")
+    failed = provenance(calls.where(~F.coalesce(completed, F.lit(False))), evidence, id_col, refs).select((F.col("n") - F.col("covered")).alias("unexplained"))
+    both = done.crossJoin(F.broadcast(failed))  # one row each
+    return both.withColumn("passed", F.coalesce((F.col("lower") >= least) & (F.col("unexplained") == 0), F.lit(False)))
+
+
+def personalisation(answers: DataFrame, correct: Column, asker: list[str], told: list[str], least: float = 0.95) -> DataFrame:
+    """n, hits, rate, disclosures, passed: enough answers are right, and none tells what belongs to another namespace. told: the
+    columns that say whose memory an answer used, beside asker; all null: none."""
+    used = reduce(Column.__or__, [F.col(c).isNotNull() for c in told])
+    same = reduce(Column.__and__, [F.col(a).eqNullSafe(F.col(t)) for a, t in zip(asker, told, strict=True)])
+    one = answers.agg(F.count("*").alias("n"), F.coalesce(F.sum(correct.cast("long")), F.lit(0)).alias("hits"), F.count_if(used & ~same).alias("disclosures"))
+    return one.withColumn("rate", F.col("hits") / F.col("n")).withColumn("passed", F.coalesce((F.col("rate") >= least) & (F.col("disclosures") == 0), F.lit(False)))

@@ -7,12 +7,15 @@ come in a Policy, so nothing here is tied to one project.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
+from typing import Any
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillgate.operators import audits as A
 from quillgate.operators import contracts as C
+from quillgate.sources.documents import markdown_table, stem
 
 
 @dataclass
@@ -36,6 +39,7 @@ class Snapshot:
     tag_message: DataFrame | None = None
     capabilities: DataFrame | None = None
     gates: DataFrame | None = None
+    manifest: DataFrame | None = None  # name, raw of the release manifest as the tag has it
 
 
 @dataclass
@@ -52,16 +56,57 @@ class Policy:
     tags: dict[str, set[str]] = field(default_factory=dict)  # tag: states that are fine
     message_parts: list[str] = field(default_factory=list)
     marks_but: str | None = None
+    roots: list[str] = field(default_factory=list)  # documents that must be there and hold, unless `legacy` names them
+    legacy: list[str] = field(default_factory=list)
+    locked: dict[str, tuple[str, str, Any]] = field(default_factory=dict)  # invariant: document, JSON path, value
+    decisions: str = ""  # where decision records lie: a prefix of paths
+    decision_count: int = 0
+    decision_headings: list[str] = field(default_factory=list)
+    trace: str = ""  # the traceability document's path
+    trace_row: str = r"^\| *[A-Z]+-?[0-9]+"
+    trace_least: int = 0
+    trace_cells: int = 9
+    trace_status: str = "accepted"
+    historical: tuple[str, str] | None = None  # a tag that must stay, and the commit it stands for
 
 
 def contract_errors(s: Snapshot, p: Policy) -> DataFrame:
     """id, path, keyword, rule of all documents against their contracts, one scan for each contract."""
     docs = C.parsed(s.documents)
     found = [C.violations(docs.where(F.col("contract") == k), c) for k, c in p.contracts.items()]
-    out = found[0]
-    for x in found[1:]:
-        out = out.unionByName(x)
-    return out
+    return reduce(DataFrame.unionByName, found)
+
+
+def root_failures(s: Snapshot, p: Policy, errors: DataFrame) -> DataFrame:
+    """Root documents that are missing or break their contract; those that an old release may lack are let off."""
+    wanted = A.values(s.documents.sparkSession, [x for x in p.roots if x not in p.legacy])
+    broken = errors.join(wanted.withColumnRenamed("name", "id"), "id", "left_semi")
+    return A.without_match(wanted, s.documents.where("valid"), says="is missing").unionByName(A.failures(broken, "id", "rule"))
+
+
+CELLS = [f"c{i}" for i in range(1, 10)]
+
+
+def decision_failures(s: Snapshot, p: Policy) -> list[tuple[str, DataFrame, str]]:
+    """The checks of decision records and the traceability document."""
+    spark = s.texts.sparkSession
+    records = s.texts.where(F.col("path").startswith(p.decisions))
+    headings = spark.createDataFrame([(None, h) for h in p.decision_headings] or [(None, "")], "path string, part string").where("part <> ''")
+    ids = records.select(F.lit(p.trace).alias("path"), F.concat(F.lit("ADR-"), F.regexp_extract(stem("path"), r"^([0-9]+)", 1)).alias("part"))
+    trace = s.texts.where(F.col("path") == p.trace)
+    rows = markdown_table(trace, p.trace_row, CELLS)
+    return [
+        ("decision records", A.count_is(records, p.decision_count, p.decision_count), f"{p.decision_count} records"),
+        ("decision headings", A.lacking(records, headings), f"{len(p.decision_headings)} headings each"),
+        ("decisions are traced", A.lacking(trace, ids), "all"),
+        ("trace rows", A.count_is(rows, p.trace_least), f"{p.trace_least} at least"),
+        ("trace cells", A.table_rows(rows, p.trace_cells, CELLS[2:6], {CELLS[7]: p.trace_status} if p.trace_status else {}), "complete"),
+    ]
+
+
+def ledger_failures(s: Snapshot, p: Policy) -> DataFrame:
+    spark = s.history.sparkSession
+    return reduce(DataFrame.unionByName, [A.history_entry(s.history, v, e) for v, e in p.baseline.items()], spark.createDataFrame([], "what string, detail string"))
 
 
 def validate(s: Snapshot, p: Policy) -> DataFrame:
@@ -84,6 +129,10 @@ def validate(s: Snapshot, p: Policy) -> DataFrame:
         ("invalid documents fail", A.without_match(invalid, errors.select(F.col("id").alias("name")), "name", "has no violation"), "all fail"),
         ("invalid documents fail as intended", A.expected_reasons(errors, reasons), "all reasons"),
         ("anchors", A.lacking(s.texts, parts, fold=True), f"{len(p.anchors)} texts"),
+        ("root documents", root_failures(s, p, errors), f"{len(p.roots)} hold"),
+        ("locked values", A.locked_values(s.documents.where("valid"), p.locked), f"{len(p.locked)} hold"),
+        *(decision_failures(s, p) if p.decisions else []),
+        ("ledger", ledger_failures(s, p), f"{len(p.baseline)} entries"),
         ("self-reference", A.forbidden_keys(s.documents.where("valid"), p.prohibited_keys or [""]), "none"),
         ("definition binding", A.binding_failures(A.binding(s.commits, p.definition, p.release)), "bound"),
         ("document hashes", A.hash_mismatches(recorded, s.blobs, p.definition), f"{len(p.hashes)} hashes"),
@@ -93,6 +142,8 @@ def validate(s: Snapshot, p: Policy) -> DataFrame:
         ("links", A.dead_links(s.texts, s.paths), "all resolve"),
         ("forbidden paths", A.forbidden_paths(s.paths), "none"),
         ("secrets", A.secrets(s.files), "none"),
+        ("release commit", A.without_match(A.values(spark, [p.release], "sha"), s.commits, "sha", "isn't a commit"), "is there"),
+        *([("historical tag", A.tag_facts(s.local_tags, f"refs/tags/{p.historical[0]}", p.historical[1]), p.historical[0])] if p.historical else []),
     ]
     return A.run([A.check(i, *c) for i, c in enumerate(checks, 1)])
 
@@ -113,20 +164,14 @@ def audit_remote(s: Snapshot, p: Policy) -> DataFrame:
 
 def audit_release(s: Snapshot, p: Policy, tag: str) -> DataFrame:
     """n, name, status, detail of the checks of one annotated tag."""
-    own = s.local_tags.where(F.col("name") == f"refs/tags/{tag}")
-    kinds = {"exists": F.count("*") == 1, "annotated": F.max("peeled").isNotNull(), "resolves": F.max("peeled") == p.release}
-    facts = own.agg(*[c.alias(k) for k, c in kinds.items()])
     recorded = s.documents.sparkSession.createDataFrame(list(p.hashes.items()) or [("", "")], "path string, sha256 string").where("path <> ''")
-    ledger = [A.history_entry(s.history, v, e) for v, e in p.baseline.items()]
-    told = ledger[0] if ledger else A.failures(own.limit(0), "name", "name")
-    for x in ledger[1:]:
-        told = told.unionByName(x)
     checks = [
-        ("tag", A.invariants(facts, {k: F.col(k) for k in kinds}), tag),
+        ("tag", A.tag_facts(s.local_tags, f"refs/tags/{tag}", p.release), tag),
         ("local and remote tag", A.tag_failures(s.local_tags, s.remote_tags, {f"refs/tags/{tag}": {"equal"}}), "equal"),
         ("definition binding", A.binding_failures(A.binding(s.commits, p.definition, p.release, allow_preparation=False)), "bound"),
         ("document hashes", A.hash_mismatches(recorded, s.blobs, p.definition), f"{len(p.hashes)} hashes"),
-        ("ledger", told, f"{len(p.baseline)} entries"),
+        *([("tagged manifest", A.forbidden_keys(s.manifest, p.prohibited_keys or [""]), "no self-reference")] if s.manifest is not None else []),
+        ("ledger", ledger_failures(s, p), f"{len(p.baseline)} entries"),
         ("tag message", A.lacking_values(s.tag_message, p.message_parts), f"{len(p.message_parts)} values"),
     ]
     return A.run([A.check(i, *c) for i, c in enumerate(checks, 1)])

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from quillgate.operators import audits, contracts, events, governance, memory, metrics
 from quillgate.operators.contracts import child, keys, type_of
+from quillgate.sources.documents import hashed
 from quillgate.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,7 +50,7 @@ def contract_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events").select("event_id", "event_type", "value", F.try_parse_json("props").alias("doc"))
     shape = contracts.Record(fields={"k": contracts.Integer(most=90)})
     own = [("event_id.required", F.col("event_id").isNull()), ("event_type.enum", ~F.col("event_type").isin("click", "purchase", "signup", "view")), ("value.minimum", F.col("value") < 0)]
-    return contracts.rule_counts(e, own + [(f"props.{r}", bad) for r, bad in contracts.rules(shape, F.col("doc"))])
+    return contracts.rule_counts(e, own + [(f"props.{r}", bad) for r, bad in contracts.rules(shape, F.col("doc"))]).drop("n")
 
 
 @query("""
@@ -58,8 +59,13 @@ UNION ALL SELECT 'if open: taxed', count(*) FILTER (l_linestatus = 'O' AND l_tax
 UNION ALL SELECT 'if none: discount at most 0.08', count(*) FILTER (l_returnflag = 'N' AND l_discount > 0.08) FROM lineitem
 """)
 def contract_conditional(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flag, status = F.col("l_returnflag"), F.col("l_linestatus")
-    return contracts.rule_counts(table(spark, sf_dir, "lineitem"), [("if returned: finished", (flag == "R") & (status != "F")), ("if open: taxed", (status == "O") & (F.col("l_tax") == 0)), ("if none: discount at most 0.08", (flag == "N") & (F.col("l_discount") > 0.08))])
+    """Line items as documents, whose conditions are rules of their contract."""
+    rules = (contracts.When("flag", "R", then={"status": contracts.Const(value="F")}), contracts.When("status", "O", then={"tax": contracts.Number(above=0)}), contracts.When("flag", "N", then={"discount": contracts.Number(most=0.08)}))
+    shape = contracts.Record(fields={"flag": contracts.Text(), "status": contracts.Text(), "tax": contracts.Number(), "discount": contracts.Number()}, rules=rules)
+    doc = F.to_json(F.struct(F.col("l_returnflag").alias("flag"), F.col("l_linestatus").alias("status"), F.col("l_tax").alias("tax"), F.col("l_discount").alias("discount")))
+    rows = contracts.parsed(table(spark, sf_dir, "lineitem").select(doc.alias("raw")))
+    names = {"if flag=R: status.const": "if returned: finished", "if status=O: tax.exclusiveMinimum": "if open: taxed", "if flag=N: discount.maximum": "if none: discount at most 0.08"}
+    return contracts.rule_counts(rows, [(names[r], bad) for r, bad in contracts.rules(shape, F.col("doc")) if r in names]).drop("n")
 
 
 @query("""
@@ -79,20 +85,20 @@ def contract_props_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT CASE WHEN l.doc_id IS NULL THEN 'only documents' WHEN d.doc_id IS NULL THEN 'only labels' ELSE 'both' END AS side, count(*) AS n
-FROM documents d FULL JOIN labels l ON d.doc_id = l.doc_id GROUP BY ALL
+SELECT CASE WHEN l.doc_id IS NULL THEN 'missing' ELSE 'unexpected' END AS side, count(*) AS n
+FROM documents d FULL JOIN labels l ON d.doc_id = l.doc_id WHERE l.doc_id IS NULL OR d.doc_id IS NULL GROUP BY ALL
 """)
 def inventory_full_outer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "documents").select("doc_id", F.lit(1).alias("d"))
-    both = d.join(table(spark, sf_dir, "labels").select("doc_id", F.lit(1).alias("l")), "doc_id", "full_outer")
-    side = F.when(F.col("l").isNull(), "only documents").when(F.col("d").isNull(), "only labels").otherwise("both")
-    return both.groupBy(side.alias("side")).agg(F.count("*").alias("n"))
+    """Labels against the inventory of documents."""
+    found = audits.set_difference(table(spark, sf_dir, "labels"), table(spark, sf_dir, "documents"), "doc_id")
+    return found.groupBy(F.col("detail").alias("side")).agg(F.count("*").alias("n"))
 
 
 @query("SELECT source, count(*) AS n FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id) GROUP BY source")
 def unlabelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     d, x = table(spark, sf_dir, "documents").select("doc_id", "source"), table(spark, sf_dir, "labels")
-    return d.join(x.select("doc_id"), "doc_id", "left_anti").groupBy("source").agg(F.count("*").alias("n"))
+    found = audits.without_match(d, x, "doc_id").select(F.col("what").cast("long").alias("doc_id"))
+    return d.join(found, "doc_id").groupBy("source").agg(F.count("*").alias("n"))
 
 
 FOREIGN_KEYS = [("nation", "n_regionkey", "region", "r_regionkey"), ("customer", "c_nationkey", "nation", "n_nationkey"), ("supplier", "s_nationkey", "nation", "n_nationkey"), ("orders", "o_custkey", "customer", "c_custkey"), ("lineitem", "l_orderkey", "orders", "o_orderkey"), ("lineitem", "l_partkey", "part", "p_partkey"), ("lineitem", "l_suppkey", "supplier", "s_suppkey"), ("labels", "doc_id", "documents", "doc_id")]
@@ -125,17 +131,18 @@ def required_fields_truthy(spark: SparkSession, sf_dir: str) -> DataFrame:
         df = table(spark, sf_dir, t)
         kinds = dict(df.dtypes)
         missing = contracts.rule_counts(df, [(f"{t}.{c}", audits.falsy(F.col(c), kinds[c])) for c in cols])
-        out.append(missing.select(F.col("rule_id").alias("field"), F.col("violations").alias("missing")).crossJoin(df.agg(F.count("*").alias("n"))))
+        out.append(missing.select(F.col("rule_id").alias("field"), F.col("violations").alias("missing"), "n"))
     return audits.run(out)
 
 
 SCANS = {"e-mail": r"[A-Za-z0-9._-]+@[A-Za-z0-9-]+\.[A-Za-z]+", "hex": r"[0-9a-f]{32}", "licence": r"[Ll]icen[cs]e", "live key": r"sk-[A-Za-z0-9]{20}"}
 
 
-@query(" UNION ALL ".join(f"SELECT '{k}' AS label, count(*) FILTER (regexp_matches(text, '{p}')) AS documents FROM documents" for k, p in SCANS.items()))
+@query(" UNION ALL ".join(f"SELECT '{k}' AS label, count(*) FILTER (regexp_matches(text, '{p}') AND octet_length(encode(text)) <= 2000000) AS documents FROM documents" for k, p in SCANS.items()))
 def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = contracts.rule_counts(table(spark, sf_dir, "documents"), [(k, F.col("text").rlike(p)) for k, p in SCANS.items()])
-    return found.select(F.col("rule_id").alias("label"), F.col("violations").alias("documents"))
+    files = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("path"), F.encode("text", "UTF-8").alias("content"))
+    found = audits.secrets(files, SCANS).groupBy(F.col("detail").alias("label")).agg(F.count("*").alias("n"))
+    return audits.values(spark, list(SCANS), "label").join(found, "label", "left").select("label", F.coalesce("n", F.lit(0)).alias("documents"))
 
 
 HREF = r'href="([^"]*)"'
@@ -153,20 +160,22 @@ def link_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT sha256(text) AS hash, count(*) AS copies, min(doc_id) AS first_doc FROM documents GROUP BY 1 HAVING count(*) > 1")
 def content_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "documents").select("doc_id", F.sha2("text", 256).alias("hash"))
+    d = hashed(table(spark, sf_dir, "documents").select("doc_id", "text"), "text").select("doc_id", F.col("sha256").alias("hash"))
     return d.groupBy("hash").agg(F.count("*").alias("copies"), F.min("doc_id").alias("first_doc")).where("copies > 1")
 
 
 @query("SELECT d.doc_id, b.item_id FROM documents d JOIN benchmark b ON contains(d.text, b.text)")
 def benchmark_leakage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A passage's longest inner word stands alone in any document that holds the passage, so candidates come from an equi-join
-    of words; passages without an inner word (none, or a few) are looked for in all texts."""
+    """A passage's inner words stand alone in any document that holds the passage, so candidates come from an equi-join on the
+    inner word that fewest documents have; passages without an inner word (one or two words) are looked for in all texts."""
     docs, items = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark").where("text is not null")
-    inner = F.array_remove(F.expr(r"slice(split(text, '\\s+'), 2, greatest(size(split(text, '\\s+')) - 2, 0))"), "")
-    items = items.withColumn("anchor", F.aggregate(inner, F.lit(""), lambda a, x: F.when(F.length(x) > F.length(a), x).otherwise(a)))
-    words = docs.select("doc_id", F.explode(F.array_distinct(F.split("text", r"\s+"))).alias("anchor"))
-    near = words.join(items.where("anchor <> ''").select("item_id", "anchor"), "anchor").select("doc_id", "item_id")
-    rest = docs.join(items.where("anchor = ''").select("item_id", F.col("text").alias("passage")), F.contains("text", "passage")).select("doc_id", "item_id")
+    inner = F.expr(r"filter(slice(split(text, '\\s+'), 2, greatest(size(split(text, '\\s+')) - 2, 0)), x -> x <> '')")
+    each = items.select("item_id", F.explode(F.array_distinct(inner)).alias("word"))
+    words = docs.select("doc_id", F.explode(F.array_distinct(F.split("text", r"\s+"))).alias("word")).join(each.select("word").distinct(), "word", "left_semi")
+    held = each.join(words.groupBy("word").agg(F.count("*").alias("n")), "word", "left")  # a word that no document has: nor the passage
+    anchor = held.groupBy("item_id").agg(F.min_by("word", F.struct(F.coalesce("n", F.lit(0)), "word")).alias("word"))
+    near = words.join(anchor, "word").select("doc_id", "item_id")
+    rest = docs.join(items.join(anchor, "item_id", "left_anti").select("item_id", F.col("text").alias("passage")), F.contains("text", "passage")).select("doc_id", "item_id")
     both = near.join(docs, "doc_id").join(items.select("item_id", F.col("text").alias("passage")), "item_id")
     return both.where(F.contains("text", "passage")).select("doc_id", "item_id").unionByName(rest)
 
@@ -357,18 +366,17 @@ def recall_at_10(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), "label", F.col("embedding").alias("v"))
     asked = v.where(F.col("id") % 10 == 0)
     found = metrics.top_neighbours(asked, v, 10, ("label",))
-    truth = asked.select(F.col("id").alias("query_id"), "label").join(v.where(F.col("id") % 4 == 0).select("id", "label"), "label").where("query_id <> id").select("query_id", "id")
-    return metrics.recall_at(found, truth).select("queries", F.round("recall", 6).alias("recall"))
+    return metrics.recall_of(found, asked, v, F.col("id") % 4 == 0, ("label",)).select("queries", F.round("recall", 6).alias("recall"))
 
 
 @query("""
-WITH t AS (SELECT item_id, regexp_replace(substr(text, 1, 120), '[^ -~]', '', 'g') AS said FROM benchmark),
+WITH t AS (SELECT item_id, regexp_replace(text, '[^ -~]', '', 'g') AS said FROM benchmark),
 p AS (SELECT a.item_id % 4 AS stratum, levenshtein(a.said, b.said) AS e, length(a.said) AS n FROM t a JOIN t b ON b.item_id = a.item_id + 1)
 SELECT coalesce(CAST(stratum AS VARCHAR), 'all') AS stratum, CAST(sum(e) AS BIGINT) AS errors, CAST(sum(n) AS BIGINT) AS length, round(sum(e) / sum(n), 9) AS rate FROM p GROUP BY GROUPING SETS ((stratum), ())
 """)
 def corpus_cer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ASCII openings of neighbouring passages as reference and transcript."""
-    t = table(spark, sf_dir, "benchmark").select("item_id", F.regexp_replace(F.substring("text", 1, 120), "[^ -~]", "").alias("reference"))
+    """Neighbouring passages, ASCII alone (the SQL engine counts bytes), as reference and transcript."""
+    t = table(spark, sf_dir, "benchmark").select("item_id", F.regexp_replace("text", "[^ -~]", "").alias("reference"))
     pairs = t.join(t.select((F.col("item_id") - 1).alias("item_id"), F.col("reference").alias("said")), "item_id").withColumn("stratum", F.col("item_id") % 4)
     r = metrics.error_rate(pairs, ["stratum"], strata=True)
     return r.select(F.coalesce(F.col("stratum").cast("string"), F.lit("all")).alias("stratum"), "errors", "length", F.round("rate", 9).alias("rate"))

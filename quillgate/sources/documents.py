@@ -13,6 +13,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillgate.operators.graphs import reached
+
 STEM = r"([^/]*?)(\.[^./]*)?$"
 
 
@@ -28,8 +30,9 @@ def suffix(path: Column | str) -> Column:
 
 
 def _texts(spark: SparkSession, path: str, pattern: str) -> DataFrame:
-    t = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", pattern).text(path)
-    return t.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("raw"))
+    t = spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter=pattern)
+    path = F.url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B")))  # it comes as a URI
+    return t.select(path.alias("path"), F.col("value").alias("raw"))
 
 
 def json_documents(spark: SparkSession, path: str) -> DataFrame:
@@ -111,14 +114,10 @@ def tags(listed: DataFrame) -> DataFrame:
 
 
 def ancestors(commits: DataFrame, tip: str) -> DataFrame:
-    """sha, depth (least) of all that tip reaches, itself included. commits: sha, parent (a row for each parent)."""
-    edges = commits.where("parent is not null").select("sha", "parent").distinct()
-    return edges.sparkSession.sql(
-        """WITH RECURSIVE up(sha, depth) MAX RECURSION LEVEL 100000 AS (
-             SELECT :tip AS sha, 0 AS depth UNION ALL SELECT e.parent, up.depth + 1 FROM up JOIN {edges} e ON e.sha = up.sha)
-           SELECT sha, min(depth) AS depth FROM up GROUP BY sha""",
-        args={"tip": tip}, edges=edges,
-    ).join(commits.select("sha").unionByName(commits.select(F.col("parent").alias("sha"))).distinct(), "sha", "left_semi")
+    """sha, depth (least) of all that tip reaches, itself included if it is a commit. commits: sha, parent (a row for each parent)."""
+    known = commits.select("sha").unionByName(commits.select(F.col("parent").alias("sha"))).distinct()
+    found = reached(commits.select(F.col("sha").alias("child"), "parent"), tip)
+    return found.withColumnRenamed("node", "sha").join(known, "sha", "left_semi")
 
 
 def repository_of(url: Column | str) -> Column:

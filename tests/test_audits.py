@@ -54,16 +54,30 @@ COMMITS = [("c1", None), ("c2", "c1"), ("c3", "c2"), ("x1", None)]
 
 def bound(spark, definition, release, **how):
     r = A.binding(spark.createDataFrame(COMMITS, "sha string, parent string"), definition, release, **how).first()
-    return r["mode"] or r["error"]
+    return r["mode"] or (r["fault"], r["parent"])
 
 
-def test_binding(spark):
-    assert bound(spark, "c2", "c3") == "release-commit"
-    assert bound(spark, "c3", "c3") == "release-preparation"
-    assert "actual c2" in bound(spark, "c3", "c3", allow_preparation=False)
-    assert "actual c2" in bound(spark, "c1", "c3")
-    assert "not a commit object" in bound(spark, "0" * 40, "c3")
-    assert "not an ancestor" in bound(spark, "x1", "c3")
+def test_binding(spark, rows):
+    assert bound(spark, "c2", "c3") == A.RELEASE
+    assert bound(spark, "c3", "c3") == A.PREPARATION
+    assert bound(spark, "c3", "c3", allow_preparation=False) == ("not the parent", "c2")
+    assert bound(spark, "c1", "c3") == ("not the parent", "c2")
+    assert bound(spark, "0" * 40, "c3")[0] == "unknown"
+    assert bound(spark, "x1", "c3")[0] == "unreached"
+    merges = spark.createDataFrame([("a", None, 0), ("b", None, 0), ("m", "a", 0), ("m", "b", 1)], "sha string, parent string, nth int")
+    assert A.binding(merges, "a", "m").first()["mode"] == A.RELEASE and A.binding(merges, "b", "m").first()["fault"] == "not the parent"
+    assert rows(A.binding_failures(A.binding(merges, "b", "m")))[0][0] == "not the parent"
+
+
+def test_ancestors_of_merges_and_long_chains(spark, monkeypatch):
+    diamonds = [e for i in range(60) for e in ((f"m{i + 1}", f"l{i}"), (f"m{i + 1}", f"r{i}"), (f"l{i}", f"m{i}"), (f"r{i}", f"m{i}"))]
+    found = {r["sha"]: r["depth"] for r in D.ancestors(spark.createDataFrame([*diamonds, ("m0", None)], "sha string, parent string"), "m60").collect()}
+    assert len(found) == 181 and found["m0"] == 120
+    chain = spark.createDataFrame([(f"c{i}", f"c{i - 1}" if i else None) for i in range(2001)], "sha string, parent string")
+    assert D.ancestors(chain, "c2000").count() == 2001
+    monkeypatch.setattr("quillgate.operators.graphs.HOP_PAIRS", 300)
+    found = {r["sha"]: r["depth"] for r in D.ancestors(spark.createDataFrame([*diamonds, ("m0", None)], "sha string, parent string"), "m60").collect()}
+    assert len(found) == 181 and found["m0"] == 120
 
 
 def test_hashes(spark, rows):
@@ -124,6 +138,46 @@ def policy():
     return R.Policy(contracts={"doc": shape}, reasons={"bad": "additionalProperties"}, anchors=[("d/a.md", "anchor")], prohibited_keys=["self"], hashes={"d/b.md": sha}, definition="c2", release="c3", repository="o/n", baseline={"1": {"tag_object": "o", "peeled_commit": "c3"}}, tags={"refs/tags/v1": {"equal"}}, message_parts=["c2"])
 
 
+def test_validate_covers_roots_locks_decisions_ledger_and_tags(spark, rows):
+    s, p = snapshot(spark), policy()
+    records = [(f"adr/{i:04}-x.md", "# T\n## Status\nAccepted\n## Why") for i in range(1, 4)]
+    trace = "| ID | t |\n" + "\n".join(f"| D-{i} | ADR-{i:04} | a | b | c | d | e | accepted | z |" for i in range(1, 4))
+    s.texts = spark.createDataFrame([*records, ("trace.md", trace), ("d/a.md", "Anchor."), ("d/b.md", "b")], "path string, raw string")
+    s.paths = s.texts.select("path")
+    p.roots, p.locked, p.decisions, p.decision_count = ["good"], {"k is one": ("good", "$.k", 1)}, "adr/", 3
+    p.decision_headings, p.trace, p.trace_row, p.trace_least = ["## Status", "## Why"], "trace.md", r"^\| D-", 3
+    p.historical = ("v1", "c3")
+    found = R.validate(s, p).cache()
+    assert reports.exit_code(found) == 0, reports.lines(found)
+    p.roots, p.locked, p.decision_count, p.trace_least, p.historical = ["good", "gone"], {"k is two": ("good", "$.k", 2), "no such": ("nope", "$.k", 1)}, 4, 4, ("v1", "c2")
+    p.decision_headings, p.trace_cells, p.release = ["## Risks"], 8, "c9"
+    bad = {r["name"] for r in R.validate(s, p).where("status = 'FAIL'").collect()}
+    assert bad == {"root documents", "locked values", "decision records", "decision headings", "trace rows", "trace cells", "historical tag", "release commit", "definition binding"}
+    p.legacy = ["gone"]
+    assert "root documents" not in {r["name"] for r in R.validate(s, p).where("status = 'FAIL'").collect()}
+    s.manifest = spark.createDataFrame([("m", '{"a": [{"self": 1}]}')], "name string, raw string")
+    p = policy()
+    assert {r["name"] for r in R.audit_release(s, p, "v1").where("status = 'FAIL'").collect()} == {"tagged manifest"}
+
+
+POLICY = policy()
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from quillgate.__main__ import main
+
+    s = snapshot(spark)
+    for k, df in vars(s).items():
+        if df is not None:
+            df.write.parquet(str(tmp_path / "snap" / k))
+    args = ["--snapshot", str(tmp_path / "snap"), "--policy", f"{__name__}:POLICY"]
+    assert main(["validate", *args, "--report", str(tmp_path / "report")], spark) == 0
+    assert "PASS: open marks: none" in capsys.readouterr().out
+    assert main(["audit-remote", *args], spark) == 1
+    assert main(["audit-release", *args, "--tag", "v1"], spark) == 0
+    assert spark.read.text(str(tmp_path / "report")).count() > 6
+
+
 def test_runs_and_reports(spark, tmp_path):
     s, p = snapshot(spark), policy()
     offline = R.validate(s, p).cache()

@@ -5,7 +5,7 @@ from pathlib import Path
 import duckdb
 import pytest
 
-from quillgate import registry
+from quillgate import queries_release, queries_semantics, registry  # noqa: F401
 
 DATA = "/root/testdata/sf0.001"
 ROOT = Path(__file__).resolve().parent.parent

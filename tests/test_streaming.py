@@ -22,7 +22,7 @@ def stream(spark, tmp_path):
 
     def run(df, mode="append"):
         q = df.writeStream.format("memory").queryName("out").outputMode(mode).option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
-        q.awaitTermination(120)
+        assert q.awaitTermination(120)
         return [tuple(r) for r in spark.table("out").collect()]
 
     return make, run
@@ -38,18 +38,63 @@ def test_repeated_calls_are_dropped(stream):
     assert sorted(x[0] for x in run(S.unique_calls(df))) == ["a", "b"]
 
 
+FRAME = "session_id string, sequence long, ts timestamp"
+
+
+def frames(at_second, *q, session="s"):
+    return [{"session_id": session, "sequence": x, "ts": at(at_second)} for x in q]
+
+
 def test_sequences_over_batches(stream):
     make, run = stream
-    frame = lambda *q: [{"session_id": "s", "sequence": x} for x in q]
-    got = run(S.sequence_verdicts(make("session_id string, sequence long", frame(0, 1), frame(3), frame(3), frame(2), frame(100), frame(5)), 10))
+    got = run(S.sequence_verdicts(make(FRAME, frames(0, 0, 1), frames(1, 3), frames(2, 3), frames(3, 2), frames(4, 100), frames(5, 5)), 10))
     assert sorted(got, key=str) == sorted([("s", 0, "ok"), ("s", 1, "ok"), ("s", 3, "gap"), ("s", 3, "duplicate"), ("s", 2, "late"), ("s", 100, "gap"), ("s", 5, "out of window")], key=str)
 
 
+def test_wide_windows(stream):
+    make, run = stream
+    got = run(S.sequence_verdicts(make(FRAME, frames(0, 0), frames(1, 199), frames(2, 1), frames(3, 1)), 200))
+    assert sorted(v for _, _, v in got) == ["duplicate", "gap", "late", "ok"]
+
+
+def test_idle_state_is_gone(stream):
+    """Once the watermark is past a session's last frame by the idle time, its numbers start anew; a busy one goes on."""
+    make, run = stream
+    batches = [frames(0, 7) + frames(0, 7, session="busy"), frames(100, 8, session="busy"), frames(200, 9, session="busy"), frames(300, 3) + frames(300, 10, session="busy"), frames(301, 3)]
+    got = run(S.sequence_verdicts(make(FRAME, *batches), 10, idle_ms=120_000, delay="1 second"))
+    assert sorted(got) == sorted([("s", 7, "ok"), ("s", 3, "ok"), ("s", 3, "duplicate"), *[("busy", n, "ok") for n in (7, 8, 9, 10)]])
+
+
+def test_timers_clear_state():
+    """A timer that is due clears the state; one that a later batch has outrun doesn't."""
+    from types import SimpleNamespace
+
+    class State:
+        value = (500, 1, b"")
+
+        def exists(self):
+            return self.value is not None
+
+        def get(self):
+            return self.value
+
+        def clear(self):
+            self.value = None
+
+    p = S.Sequences(10, "ts", 100)
+    p.state = State()
+    fire = lambda ms: list(p.handleExpiredTimer(("s",), None, SimpleNamespace(getExpiryTimeInMs=lambda: ms)))
+    assert fire(400) == [] and p.state.exists()
+    assert fire(500) == [] and not p.state.exists()
+
+
 def test_lifecycles(stream):
     make, run = stream
-    e = lambda c, *kinds: [{"call_id": c, "type": f"tool.{k}", "trace_id": "t"} for k in kinds]
-    got = run(S.lifecycle_verdicts(make("call_id string, type string, trace_id string", e("x", "requested"), e("x", "started"), e("x", "completed"), e("y", "progress"), e("x", "failed"))))
-    assert sorted(got) == sorted([("x", "tool.requested", "ok"), ("x", "tool.started", "ok"), ("x", "tool.completed", "ok"), ("y", "tool.progress", "violation"), ("x", "tool.failed", "violation")])
+    e = lambda s, c, *kinds: [{"call_id": c, "type": f"tool.{k}", "trace_id": "t", "ts": at(s)} for k in kinds]
+    batches = [e(0, "x", "requested"), e(1, "x", "started"), e(2, "x", "completed"), e(3, "y", "progress"), e(4, "x", "failed"), e(400, "z", "requested"), e(500, "x", "requested")]
+    got = run(S.lifecycle_verdicts(make("call_id string, type string, trace_id string, ts timestamp", *batches), idle_ms=60_000, delay="1 second"))
+    want = [("x", "tool.requested", "ok"), ("x", "tool.started", "ok"), ("x", "tool.completed", "ok"), ("y", "tool.progress", "violation"), ("x", "tool.failed", "violation"), ("z", "tool.requested", "ok"), ("x", "tool.requested", "ok")]
+    assert sorted(got) == sorted(want)  # the call's state had gone before its name came again
 
 
 def test_silent_sessions_end_behind_the_watermark(stream):
