@@ -17,7 +17,7 @@ import hashlib
 import re
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -89,18 +89,35 @@ def read_back(formatted: str) -> list[tuple[str, str]]:
 def digests(chats: DataFrame) -> DataFrame:
     """What the output says, read from formatted and loss_mask alone."""
 
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = []
-            for conv, text, mask in zip(b.conv_id, b.formatted, b.loss_mask, strict=True):
+            for text, mask in zip(b.column("formatted").to_pylist(), b.column("loss_mask").to_pylist(), strict=True):
                 turns, trained, n = read_back(text), hashlib.sha256(), 0
                 said = hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in turns).encode())
                 for s in mask:
                     own = unescape(text[s["start"] : s["end"]])
                     n += len(own)
                     trained.update(own.encode())
-                rows.append((conv, len(turns), said.hexdigest(), n, trained.hexdigest(), len(text)))
-            out = pd.DataFrame(rows, columns=["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"])
-            yield out.astype({"conv_id": "Int64"})
+                rows.append((len(turns), said.hexdigest(), n, trained.hexdigest(), len(text)))
+            kinds = (pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64())
+            columns = zip(*rows, strict=True) if rows else [()] * 5
+            yield pa.record_batch([b.column("conv_id"), *(pa.array(c, t) for c, t in zip(columns, kinds, strict=True))], DIGEST)
 
-    return chats.mapInPandas(read, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+    return chats.mapInArrow(read, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+
+
+DIGEST = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
+#: Code points of one streamed piece.
+PIECE = 64
+
+
+def streamed(rows: DataFrame) -> DataFrame:
+    """Whole turns (conv_id, turn, role, text) as the events they come as: a message that opens the turn, then a delta for each
+    piece of its text. Each row is a message of its own, identical ones too."""
+    own = rows.select("conv_id", "turn", "role", "text", F.hex(F.monotonically_increasing_id()).alias("msg_id"))
+    n = F.ceil(F.char_length(F.coalesce("text", F.lit(""))) / PIECE).cast("int")
+    piece = lambda i: F.substring(F.col("text"), (i - 1) * PIECE + 1, F.lit(PIECE))
+    event = lambda i: F.struct(F.struct(F.col("turn"), i.alias("part")).alias("seq"), F.when(i == 0, "message").otherwise("delta").alias("event"), F.when(i > 0, piece(i)).alias("text"))
+    e = own.select("conv_id", "msg_id", "role", F.explode(F.transform(F.sequence(F.lit(0), n), event)).alias("e"))
+    return e.select("conv_id", "e.seq", "e.event", "msg_id", "role", "e.text")

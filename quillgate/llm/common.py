@@ -2,38 +2,44 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillgate.tables import checkpointed, shared_dir, table  # noqa: F401  for the operators here
+
 #: Lower-cases A-Z alone, as the word rules ask for.
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+_SCRATCH: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; only where it is unset, a folder of this machine."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        have = spark.sparkContext._jsc.sc().getCheckpointDir()
-        found = have.get() if have.isDefined() else None
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="quillgate-")
-        spark.sparkContext.setCheckpointDir(found)
-    return found.rstrip("/")
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """While it is open, tables that stored() writes without keep are deleted when it ends: what a result still reads is kept."""
+    paths: list[str] = []
+    token = _SCRATCH.set(paths)
+    try:
+        yield
+    finally:
+        _SCRATCH.reset(token)
+        for path in paths:
+            dropped(spark, path)
 
 
-def stored(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
+def stored(df: DataFrame, name: str, compression: str = "zstd", keep: bool = False) -> DataFrame:
     """Writes df to a fresh table in the shared folder and reads it back: lineage ends there."""
-    return df.sparkSession.read.schema(df.schema).parquet(store(df, name, compression))
+    path, paths = store(df, name, compression), _SCRATCH.get()
+    if paths is not None and not keep:
+        paths.append(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def store(df: DataFrame, name: str, compression: str = "zstd") -> str:
@@ -49,15 +55,23 @@ def dropped(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
+def fresh(df: DataFrame, name: str) -> str:
+    """name, or a longer one, that no column of df has."""
+    while name.lower() in {c.lower() for c in df.columns}:
+        name += "_"
+    return name
 
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def drawn(share: Column, *key: Column | str) -> Column:
+    """Whether a number in [0, 1) that depends on the key alone is below share; 53 bits, so the least share draws something of the
+    largest corpus. A null key column counts as a value, so give it others beside (rows without an id differ by their text)."""
+    return F.shiftrightunsigned(F.xxhash64(*key), 11) / F.lit(float(1 << 53)) < share
+
+
 def held_out(doc_id: str | Column, mod: int) -> Column:
     """crc32 of doc_id as text has remainder 2; a null id is never held out."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string") if isinstance(doc_id, str) else doc_id.cast("string")) % mod == 2, F.lit(False))

@@ -9,8 +9,8 @@ temperature of the score, and by length the highest excess of cross-entropy over
 document beyond that, or without a letter, is rejected. The sample's size bounds what reaches the driver and is broadcast.
 
 Defined cases: text that is null or has no letter is ``und`` with score 0; ties go to the language that sorts first; with
-nothing to learn from all rows are ``und``; a text of over `CHARS` characters is read in pieces whose context starts anew and
-whose sums are added; a null doc_id is never held out; repeated rows are rows of their own; an empty table gives no rows;
+nothing to learn from all rows are ``und``; a long text is scored `CHARS` characters at a time, each with the context
+before it; a null doc_id is never held out; repeated rows are rows of their own; an empty table gives no rows;
 lang, source and doc_id are never inputs of a prediction.
 """
 
@@ -26,10 +26,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillgate.llm.common import held_out, slices
+from quillgate.llm.common import drawn, held_out, slices
 
 ORDER, SAMPLE_DOCS, FOLDS = 4, 4000, 5
-CHARS = 1 << 20
+CHARS, MOST_LANGS = 1 << 20, 400
 SLACK, FLOOR = 1.25, 0.5  # times the highest excess seen in calibration; nats a character that are never held against a text
 UNKNOWN = "und"
 _P, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
@@ -54,6 +54,27 @@ def codes_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return c, np.flatnonzero(pad)[:: ORDER - 1]
 
 
+def coded(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Code points, the numbers of the texts they come from, and where each text's own begin after ORDER - 1 points of context: texts
+    of about CHARS characters together, a longer one in pieces. A piece ends behind white space where it can, and its context is the
+    end of the piece before."""
+    for run in slices(texts, CHARS):
+        if len(run) > 1 or len(texts[run[0]]) <= CHARS:
+            c, begin = codes_of([texts[i] for i in run])
+            yield c, np.array(run), begin
+            continue
+        text, a, tail = texts[run[0]], 0, None
+        while a < len(text):
+            z = min(a + CHARS, len(text))
+            if z < len(text):
+                z = max(text.rfind(" ", a, z), text.rfind("\n", a, z)) + 1 or z
+            c, begin = codes_of([text[a:z]])
+            if tail is not None:
+                c[: ORDER - 1] = tail
+            yield c, np.array(run), begin
+            tail, a = c[1 - ORDER :], z
+
+
 def raw_hashes(c: np.ndarray) -> list[np.ndarray]:
     """For each order k the hash of the k code points up to each position (0 where there are not so many)."""
     out = [c.astype(np.uint64) + np.uint64(1)]
@@ -126,9 +147,8 @@ class Model:
     def sums(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Log-probability by language and number of characters of each text; texts without a letter have none."""
         total, n = np.zeros((len(texts), len(self.langs))), np.zeros(len(texts), np.int64)
-        pieces = [(i, t[a : a + CHARS]) for i, t in enumerate(texts) for a in range(0, max(len(t), 1), CHARS)]
-        for run in slices((t for _, t in pieces), CHARS):
-            c, begin = codes_of([pieces[j][1] for j in run])
+        letters = np.zeros(len(texts), bool)
+        for c, run, begin in coded(texts):
             size = np.diff(np.append(begin, len(c))) - (ORDER - 1)
             own = np.ones(len(c), bool)
             own[(begin[:, None] + np.arange(ORDER - 1)).ravel()] = False
@@ -136,11 +156,10 @@ class Model:
             some = size > 0
             if some.any():
                 starts = (np.cumsum(size) - size)[some]
-                letters = np.add.reduceat((c != 32)[own].astype(np.int64), starts) > 0
-                docs = np.array([pieces[j][0] for j in run])[some]
-                np.add.at(total, docs, np.add.reduceat(p, starts, axis=0, dtype=np.float64) * letters[:, None])
-                np.add.at(n, docs, size[some] * letters)
-        return total, n
+                total[run[some]] += np.add.reduceat(p, starts, axis=0, dtype=np.float64)
+                letters[run[some]] |= np.add.reduceat((c != 32)[own].astype(np.int64), starts) > 0
+            n[run] += size
+        return total * letters[:, None], n * letters
 
     def judge(self, texts: list[str]) -> pd.DataFrame:
         """lang_pred, score, cross_entropy, rejected."""
@@ -236,19 +255,19 @@ def fit(docs: DataFrame, mod: int = 4, id_col: str = "doc_id", text_col: str = "
     """Learns from rows with text and lang that are not held out."""
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where("lang is not null and text is not null").where(~held_out("doc_id", mod))
-    sizes = {x["lang"]: x["n"] for x in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    sizes = {x["lang"]: x["n"] for x in rows.groupBy("lang").agg(F.count("*").alias("n")).limit(MOST_LANGS + 1).collect()}
     if not sizes:
         return kneser_ney({})
-    share = spark.createDataFrame([(k, int(min(1.0, SAMPLE_DOCS / n) * 1_000_000)) for k, n in sizes.items()], "lang string, share int")
-    draw = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(1_000_000))
-    sample = rows.join(F.broadcast(share), "lang").where(draw < F.col("share")).select("lang", "text", F.pmod(F.xxhash64("doc_id", F.lit(2)), F.lit(FOLDS)).alias("fold"))
+    if len(sizes) > MOST_LANGS:
+        raise ValueError(f"{len(sizes)} values of lang; a model of each is broadcast, so {MOST_LANGS} at most")
+    share = spark.createDataFrame([(k, min(1.0, SAMPLE_DOCS / n)) for k, n in sizes.items()], "lang string, share double")
+    sample = rows.join(F.broadcast(share), "lang").where(drawn(F.col("share"), "doc_id", "text", F.lit(1)))
+    sample = sample.select("lang", "text", F.pmod(F.xxhash64("doc_id", "text", F.lit(2)), F.lit(FOLDS)).alias("fold"))
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for lang, texts in b.groupby("lang").text:
-                texts = texts.tolist()
-                for run in slices(texts, CHARS):
-                    c, begin = codes_of([texts[j] for j in run])
+                for c, _, begin in coded(texts.tolist()):
                     own = np.ones(len(c), bool)
                     own[(begin[:, None] + np.arange(ORDER - 1)).ravel()] = False
                     at = np.flatnonzero(own)
@@ -272,17 +291,19 @@ def fit(docs: DataFrame, mod: int = 4, id_col: str = "doc_id", text_col: str = "
     return model
 
 
+JUDGED = {"lang_pred": pa.string(), "score": pa.float64(), "cross_entropy": pa.float64(), "rejected": pa.bool_()}
+
+
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, lang_pred, score, cross_entropy, rejected."""
     held = docs.sparkSession.sparkContext.broadcast(model)
 
-    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out = held.value.judge(b.text.fillna("").tolist())
-            out.insert(0, "doc_id", b.doc_id.to_numpy())
-            yield out
+            out = held.value.judge([t or "" for t in b.column("text").to_pylist()])
+            yield pa.record_batch({"doc_id": b.column("doc_id"), **{c: pa.array(out[c], t) for c, t in JUDGED.items()}})
 
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInPandas(work, "doc_id long, lang_pred string, score double, cross_entropy double, rejected boolean")
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(work, "doc_id long, lang_pred string, score double, cross_entropy double, rejected boolean")
 
 
 def kept(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:

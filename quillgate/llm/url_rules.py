@@ -16,7 +16,8 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -67,21 +68,25 @@ def classify(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_co
     both = p.unionByName(r).repartitionByRange(partitions(pages.sparkSession), *sort).sortWithinPartitions(*sort)
     both = checkpointed(both)  # both sweeps must see the same partitions
 
-    def ends(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def rows(b: pa.RecordBatch, *names: str) -> Iterator[tuple]:
+        return zip(*(b.column(n).to_pylist() for n in names), strict=True)
+
+    def ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first, last, stack = None, None, _Stack([])
         for b in batches:
-            if len(b):
-                first, last = first if first is not None else b.key.iloc[0], b.key.iloc[-1]
-                for k, path, host, v in b.loc[b.kind == 0, ["key", "path", "host", "verdict"]].itertuples(index=False):
+            if b.num_rows:
+                first, last = first if first is not None else b.column("key")[0].as_py(), b.column("key")[-1].as_py()
+                for k, path, host, v in rows(b.filter(pc.equal(b.column("kind"), 0)), "key", "path", "host", "verdict"):
                     stack.at(k)
                     stack.rules.append((k, path, host + path, v))
         if first is not None:
             stack.at(last)
             own = stack.rules or [(None, None, None, None)]
-            yield pd.DataFrame([(TaskContext.get().partitionId(), first, last, *x) for x in own], columns=["part", "first", "last", "key", "path", "rule", "verdict"])
+            part = pa.array([TaskContext.get().partitionId()] * len(own), pa.int32())
+            yield pa.record_batch([part, *(pa.array(c, pa.string()) for c in ([first] * len(own), [last] * len(own), *zip(*own, strict=True)))], ["part", "first", "last", "key", "path", "rule", "verdict"])
 
     found: dict[int, tuple[str, str, list]] = {}
-    for x in both.mapInPandas(ends, "part int, first string, last string, key string, path string, rule string, verdict string").collect():
+    for x in both.mapInArrow(ends, "part int, first string, last string, key string, path string, rule string, verdict string").collect():
         own = found.setdefault(x.part, (x.first, x.last, []))[2]
         if x.key is not None:
             own.append((x.key, x.path, x.rule, x.verdict))
@@ -93,16 +98,22 @@ def classify(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_co
         stack.at(last)
         stack.rules += own
 
-    def sweep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         stack = _Stack(seeds.get(TaskContext.get().partitionId(), []))
         for b in batches:
-            out = []
-            for k, kind, path, i, host, v in b[["key", "kind", "path", "id", "host", "verdict"]].astype({"id": "object"}).itertuples(index=False):
-                stack.at(k)
+            found, key, before = [], None, None
+            for k, kind, path, host, v in rows(b, "key", "kind", "path", "host", "verdict"):
+                if k != key:
+                    stack.at(k)
+                    key, before = k, None
                 if kind == 0:
                     stack.rules.append((k, path, host + path, v))
+                    before = None
                 else:
-                    out.append((i, host, path, *stack.best(path)))
-            yield pd.DataFrame(out, columns=["id", "host", "path", "rule", "verdict"]).astype({"id": "Int64"})
+                    if before is None or before[0] != path:  # pages of one key and path follow one another
+                        before = path, stack.best(path)
+                    found.append(before[1])
+            own = b.filter(pc.equal(b.column("kind"), 1)).select(["id", "host", "path"])
+            yield pa.RecordBatch.from_arrays([*own.columns, pa.array([r for r, _ in found], pa.string()), pa.array([v for _, v in found], pa.string())], ["id", "host", "path", "rule", "verdict"])
 
-    return both.mapInPandas(sweep, PAGE_OUT).withColumnRenamed("id", id_col)
+    return both.mapInArrow(sweep, PAGE_OUT).withColumnRenamed("id", id_col)

@@ -31,3 +31,20 @@ def test_rendering_is_reversible_and_masks_replies(spark):
 
 def test_empty_log(spark):
     assert chat.digests(chat.format_chats(spark.createDataFrame([], EVENTS))).count() == 0
+
+
+def test_streamed_turns_fold_to_what_they_were(spark):
+    rows = [(1, 0, "user", "a" * 200), (1, 1, "assistant", "日本" * 50 + "end"), (1, 1, "assistant", "日本" * 50 + "end"), (1, None, "user", "none"), (2, 0, None, None), (2**53 + 1, 3, "assistant", ""), (None, 2, "user", "x" * chat.PIECE)]
+    events = chat.streamed(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    assert events.where("event = 'delta'").count() == 4 + 2 + 2 + 1 + 1
+    got = sorted(((r["conv_id"], r["role"], r["text"]) for r in chat.fold_events(events).collect()), key=str)
+    assert got == sorted(((c, r or "", t or "") for c, _, r, t in rows), key=str)
+    assert {r["conv_id"] for r in chat.digests(chat.format_chats(events)).collect()} == {1, 2, 2**53 + 1, None}
+
+
+def test_the_query_folds(spark):
+    """The plan of op1 groups deltas by message."""
+    from quillgate.llm.queries import QUERIES
+
+    plan = QUERIES["op1_chat_formatting"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "msg_id" in plan and "collect_list" in plan and "Generate" in plan

@@ -96,3 +96,54 @@ def test_probabilities_agree_with_the_definition():
         want = brute(train, text)
         assert np.allclose(total[0], [want[k] for k in model.langs], rtol=1e-4), text
         assert n[0] > 0
+
+
+def test_long_texts_are_scored_with_the_context_before_each_piece(monkeypatch):
+    r = random.Random(4)
+    train = {k: [sentence(r, k, 60)] for k in SYLLABLES}
+    counts = {}
+    for k, texts in train.items():
+        c, _ = langid.codes_of(texts)
+        counts[k] = np.unique(c[np.arange(3, len(c))[:, None] + np.arange(-3, 1)], axis=0, return_counts=True)
+    model = langid.kneser_ney(counts)
+    texts = [sentence(r, "aa", 80), "x" * 150, sentence(r, "cc", 3), "", "!" * 99 + " ka", sentence(r, "bb", 50).replace(" ", " -- \n")]
+    total, n = model.sums(texts)
+    monkeypatch.setattr(langid, "CHARS", 31)
+    again, m = model.sums(texts)
+    assert np.allclose(total, again) and (n == m).all()
+
+
+def test_ids_beyond_doubles_and_draws_of_any_share(spark):
+    df, data = corpus(spark)
+    big = spark.createDataFrame([(2**53 + 1, data[0][1], None), (None, data[1][1], "bb"), (None, data[4][1], "bb")], "doc_id long, text string, lang string")
+    got = langid.predict(df.unionByName(big), langid.fit(df.unionByName(big))).collect()
+    assert [r["lang_pred"] for r in got if r["doc_id"] == 2**53 + 1] == ["aa"] and sum(r["doc_id"] is None for r in got) == 2
+    from quillgate.llm.common import drawn
+
+    n = 200_000
+    for share in (1e-4, 1e-2):
+        k = spark.range(n).where(drawn(__import__("pyspark").sql.functions.lit(share), "id")).count()
+        assert abs(k - n * share) < 6 * math.sqrt(n * share)
+
+
+def test_too_many_languages_are_refused(spark, monkeypatch):
+    import pytest
+
+    monkeypatch.setattr(langid, "MOST_LANGS", 2)
+    with pytest.raises(ValueError, match="values of lang"):
+        langid.fit(corpus(spark, 30)[0])
+
+
+def test_registered_query_held_out_accuracy(spark):
+    import zlib
+
+    import pyarrow.parquet as pq
+
+    from quillgate.llm.queries import QUERIES
+
+    sf = "/root/testdata/sf0.01"
+    lang = {r["doc_id"]: r["lang"] for r in pq.read_table(f"{sf}/documents.parquet").select(["doc_id", "lang"]).to_pylist()}
+    got = QUERIES["op2_language_id"](spark, sf).collect()
+    assert len(got) == len(lang) and all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) and 0 <= r["score"] <= 1 for r in got)
+    held = [r for r in got if r["held_out"]]
+    assert sum(r["lang_pred"] == lang[r["doc_id"]] for r in held) / len(held) > 0.98

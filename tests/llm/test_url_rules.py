@@ -37,3 +37,9 @@ def test_empty_tables(spark):
     assert U.classify(pages.limit(0), rules).count() == 0
     null_id = spark.createDataFrame([(None, "http://a.b/c")], "page_id long, url string")
     assert U.classify(null_id, rules).count() == 1
+
+
+def test_ids_beyond_doubles(spark):
+    pages = spark.createDataFrame([(2**53 + 1, "http://a.b/c"), (None, "http://a.b/c"), (2**53 + 3, "http://b/")], "page_id long, url string")
+    rules = spark.createDataFrame([("b", "/c", "block")], "host string, path string, verdict string")
+    assert sorted(((r["page_id"] or 0), r["verdict"]) for r in U.classify(pages, rules).collect()) == [(0, "block"), (2**53 + 1, "block"), (2**53 + 3, "allow")]
