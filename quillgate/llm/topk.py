@@ -2,11 +2,15 @@ r"""Exact top-k inner products by the threshold algorithm over sorted per-dimens
 
 Vectors are dealt to blocks by a hash of their id; each block holds its matrix and, for each dimension, the order of its rows
 by that component: the sorted lists. A query reads the lists from the end that its component's sign favours, all dimensions
-to the same depth, and scores the rows it meets. The bound is the score of a vector that had every list's current component;
-when the k-th score is above it, no row further down can enter, ties included. When the bound at a depth that would meet half
-the block can't be beaten either, the rest of the lists is read in one product. Each (queries, block) pair is a task of
-bounded size; k rows a pair go on to a window over each query. Queries and blocks both grow with the table, which is what a
-stated query set against all rows costs; nothing else does.
+to the same depth, and scores each row when it first meets it. The bound is the score of a vector that had every list's current
+component; when the k-th score so far is above it, no row further down can enter, ties included, and the query is done with the
+block. Depths double. Once half of a block's rows are met, what its lists still hold is as good as all of the other rows, and these are
+scored in one product for all queries that have come so far: the end of the lists, not a way around them.
+
+A first round searches one block for each query; its k-th score is where the bound starts from in all others, as the k-th score of
+the whole can't be less. Each (queries, block) pair is a task of bounded size; a block is shipped to its queries' groups, k rows a
+pair go on to a window over each query. Queries and blocks both grow with the table, which is what a stated query set against all
+rows costs; nothing else does. `reads` tells for each (query, block) how deep the lists were read and how many rows were scored.
 
 Defined cases: a vector that is null, empty or holds a null or non-finite component takes no part, nor does one with a null
 id; vectors meet only those of their own length; rows with the query's id are its own; fewer than k candidates are all
@@ -16,6 +20,7 @@ returned; ties go to the smaller id; an empty table gives no rows. Components ar
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -25,7 +30,7 @@ from pyspark.sql import functions as F
 
 from quillgate.llm.common import stored
 
-BLOCK, QUERIES, FIRST_DEPTH = 8192, 512, 16
+BLOCK, QUERIES, FIRST_DEPTH = 8192, 512, 4
 
 
 def integers(vectors: DataFrame, scale: int = 64, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -56,39 +61,53 @@ def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return rows[np.lexsort((ids[rows], -scores[rows]))][:k]
 
 
-def threshold_top_k(q: np.ndarray, q_ids: np.ndarray, c: np.ndarray, c_ids: np.ndarray, order: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For each query the ids and scores of its k best rows of the block. order[d]: rows by component d, highest first."""
+@dataclass
+class Found:
+    """The k best rows of a block for one query; how deep the lists were read, and how many rows were scored for it alone."""
+
+    ids: np.ndarray
+    scores: np.ndarray
+    depth: int
+    scored: int
+
+
+def threshold_top_k(q: np.ndarray, q_ids: np.ndarray, c: np.ndarray, c_ids: np.ndarray, order: np.ndarray, k: int, least: np.ndarray | None = None) -> list[Found]:
+    """For each query its k best rows of the block. order[d]: rows by component d, highest first. least: by query a score that the
+    k-th of all blocks reaches; rows below it may be missing from the result."""
     n, dims = c.shape
     q, c = _exact(q, c)
     lists = np.take_along_axis(c.T, order.astype(np.int64), axis=1)  # components in list order
-    half = max(1, math.ceil(n * (1 - 0.5 ** (1 / dims))))  # the depth at which half the block is met, if lists are unrelated
-
-    def bound(x: np.ndarray, depth: int) -> float:
-        return np.where(x > 0, x * lists[:, depth - 1], x * lists[:, n - depth]).sum()
-
     out: list = [None] * len(q)
-    rest = []
+    rest: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, int]] = {}
     for i, x in enumerate(q):
-        depth = FIRST_DEPTH
-        while depth < half:
-            up = x > 0
-            seen = np.unique(np.concatenate([order[up, :depth].ravel(), order[x < 0, n - depth :].ravel()]))
-            seen = seen[c_ids[seen] != q_ids[i]]
-            s = c[seen] @ x
-            kth = np.partition(s, len(s) - k)[len(s) - k] if len(s) >= k else None
-            if kth is not None and kth > bound(x, depth):
-                own = _best(s, c_ids[seen], k)
-                out[i] = (c_ids[seen][own], s[own])
+        up, down = np.flatnonzero(x > 0), np.flatnonzero(x < 0)
+        met, rows, scores, depth = c_ids == q_ids[i], np.zeros(0, np.int64), np.zeros(0, c.dtype), 0
+        known = -np.inf if least is None else least[i]
+        to = min(FIRST_DEPTH, n)
+        while True:
+            new = np.concatenate([order[up, depth:to].ravel(), order[down, n - to : n - depth].ravel()]).astype(np.int64)
+            new = np.unique(new[~met[new]])
+            met[new] = True
+            rows, scores, depth = np.concatenate([rows, new]), np.concatenate([scores, c[new] @ x]), to
+            bound = np.where(x > 0, x * lists[:, depth - 1], x * lists[:, n - depth]).sum()
+            kth = np.partition(scores, len(scores) - k)[len(scores) - k] if len(scores) >= k else -np.inf
+            if max(kth, known) > bound or depth == n and len(up) + len(down):
+                own = _best(scores, c_ids[rows], k)
+                out[i] = Found(c_ids[rows[own]], scores[own], depth, len(rows))
                 break
-            depth = depth * 4 if kth is not None and kth > bound(x, half) else half
-        if out[i] is None:
-            rest.append(i)
-    if rest:  # these read their lists to the end
-        s = q[rest] @ c.T
-        for row, i in enumerate(rest):
-            other = np.flatnonzero(c_ids != q_ids[i]) if (c_ids == q_ids[i]).any() else slice(None)
-            own = _best(s[row][other], c_ids[other], k)
-            out[i] = (c_ids[other][own], s[row][other][own])
+            if 2 * len(rows) >= n or depth == n:
+                rest[i] = (met, rows, scores, depth)
+                break
+            to = min(2 * depth, n)
+    if rest:
+        asked = list(rest)
+        s = q[asked] @ c.T
+        for row, i in enumerate(asked):
+            met, rows, scores, depth = rest[i]
+            left = np.flatnonzero(~met)
+            rows, scores = np.concatenate([rows, left]), np.concatenate([scores, s[row][left]])
+            own = _best(scores, c_ids[rows], k)
+            out[i] = Found(c_ids[rows[own]], scores[own], n, len(rows))
     return out
 
 
@@ -104,29 +123,60 @@ def sorted_lists(vectors: DataFrame, blocks: int) -> DataFrame:
     return dealt.groupBy("dims", "block").applyInPandas(build, "dims int, block int, n int, ids binary, matrix binary, lists binary, kinds string")
 
 
-def top_k(vectors: DataFrame, is_query: Column, k: int = 20, **columns) -> DataFrame:
-    """query_id, rank, vec_id, score. is_query: a condition on id."""
-    v = stored(integers(vectors, **columns), "vectors")
-    blocks = max(1, math.ceil(v.count() / BLOCK))
-    index = stored(sorted_lists(v, blocks), "sorted-lists")
-    asked = v.where(is_query)
-    groups = max(1, math.ceil(asked.count() / QUERIES))
+FOUND = "query_id long, vec_id long, score long, depth int, scored int, n int"
 
-    def pack(key: tuple, b: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"dims": [key[0]], "part": [key[1]], "q_ids": [b.id.to_numpy("<i8").tobytes()], "q": [np.stack([np.asarray(x, "<i8") for x in b.v]).tobytes()]})
 
-    q = asked.select(F.size("v").alias("dims"), F.pmod(F.xxhash64("id", F.lit(1)), F.lit(groups)).cast("int").alias("part"), "id", "v").groupBy("dims", "part").applyInPandas(pack, "dims int, part int, q_ids binary, q binary")
+def _searched(q: DataFrame, index: DataFrame, k: int) -> DataFrame:
+    """The k best rows of each (query, block) that q (dims, part, q_ids, q, least, block) asks for, with what was read."""
 
     def search(key: tuple, b: pd.DataFrame) -> pd.DataFrame:
         out = []
         for r in b.itertuples():
             c_kind, o_kind = r.kinds.split()
             q_ids, c_ids = np.frombuffer(r.q_ids, "<i8"), np.frombuffer(r.ids, "<i8")
-            found = threshold_top_k(np.frombuffer(r.q, "<i8").reshape(-1, r.dims), q_ids, np.frombuffer(r.matrix, c_kind).reshape(-1, r.dims), c_ids, np.frombuffer(r.lists, o_kind).reshape(r.dims, -1), k)
-            out.append(pd.DataFrame({"query_id": np.repeat(q_ids, [len(x) for x, _ in found]), "vec_id": np.concatenate([x for x, _ in found]), "score": np.concatenate([s for _, s in found]).astype(np.int64)}))
+            found = threshold_top_k(np.frombuffer(r.q, "<i8").reshape(-1, r.dims), q_ids, np.frombuffer(r.matrix, c_kind).reshape(-1, r.dims), c_ids, np.frombuffer(r.lists, o_kind).reshape(r.dims, -1), k, np.frombuffer(r.least, "<f8"))
+            each = [len(f.ids) for f in found]
+            out.append(pd.DataFrame({"query_id": np.repeat(q_ids, each), "vec_id": np.concatenate([f.ids for f in found]), "score": np.concatenate([f.scores for f in found]).astype(np.int64), "depth": np.repeat([f.depth for f in found], each), "scored": np.repeat([f.scored for f in found], each), "n": len(c_ids)}))
         return pd.concat(out)
 
-    pairs = q.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).join(index, ["dims", "block"])
-    near = pairs.groupBy("dims", "part", "block").applyInPandas(search, "query_id long, vec_id long, score long")
+    return q.join(index, ["dims", "block"]).groupBy("dims", "part", "block").applyInPandas(search, FOUND)
+
+
+def searched(vectors: DataFrame, is_query: Column, k: int = 20, **columns) -> DataFrame:
+    """query_id, vec_id, score, depth, scored, n: of each query and block the rows that may be among the k best."""
+    v = stored(integers(vectors, **columns), "vectors")
+    blocks = max(1, math.ceil(v.count() / BLOCK))
+    index = stored(sorted_lists(v, blocks), "sorted-lists")
+    asked = v.where(is_query).select(F.size("v").alias("dims"), "id", "v")
+    groups = max(1, math.ceil(asked.count() / QUERIES))
+
+    def pack(key: tuple, b: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"dims": [key[0]], "part": [key[1]], "q_ids": [b.id.to_numpy("<i8").tobytes()], "q": [np.stack([np.asarray(x, "<i8") for x in b.v]).tobytes()], "least": [b.least.to_numpy("<f8").tobytes()]})
+
+    def packed(rows: DataFrame) -> DataFrame:
+        part = F.pmod(F.xxhash64("id", F.lit(1)), F.lit(groups)).cast("int")
+        return rows.withColumn("part", part).groupBy("dims", "part").applyInPandas(pack, "dims int, part int, q_ids binary, q binary, least binary")
+
+    own = F.pmod(F.col("part"), F.lit(blocks)).cast("int")
+    first = packed(asked.withColumn("least", F.lit(float("-inf")))).withColumn("block", own)
+    # a block of these dimensions may be empty; its queries then start without a bound
+    near = stored(_searched(first, index, k), "first-blocks")
+    kth = near.groupBy("query_id").agg(F.count("*").alias("c"), F.min("score").alias("least")).where(F.col("c") == k).select(F.col("query_id").alias("id"), F.col("least").cast("double").alias("least"))
+    bound = asked.join(kth, "id", "left").fillna(float("-inf"), ["least"]) if blocks > 1 else None
+    if bound is None:
+        return near
+    others = packed(bound).withColumn("own", own).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).where("block <> own").drop("own")
+    return near.unionByName(_searched(others, index, k))
+
+
+def top_k(vectors: DataFrame, is_query: Column, k: int = 20, **columns) -> DataFrame:
+    """query_id, rank, vec_id, score. is_query: a condition on id."""
+    near = searched(vectors, is_query, k, **columns).select("query_id", "vec_id", "score")
     by_score = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return near.withColumn("rank", F.row_number().over(by_score)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def reads(found: DataFrame) -> DataFrame:
+    """pairs (of query and block), stopped (by the bound, before the lists' end), scored (share of the blocks' rows) of searched()."""
+    each = found.select("query_id", "depth", "scored", "n").distinct()
+    return each.agg(F.count("*").alias("pairs"), F.count_if(F.col("depth") < F.col("n")).alias("stopped"), (F.sum("scored") / F.sum("n")).alias("scored"))
