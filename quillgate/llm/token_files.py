@@ -196,7 +196,7 @@ def word_ids(path: str) -> WordIds:
     return WordIds(path)
 
 
-def _binary(flat: np.ndarray, sizes: np.ndarray) -> pa.Array:
+def binary(flat: np.ndarray, sizes: np.ndarray) -> pa.Array:
     """flat cut into so many elements for each row, as bytes."""
     ends = np.concatenate(([0], np.cumsum(sizes, dtype=np.int64))) * flat.itemsize
     return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(flat))]).cast(pa.binary())
@@ -211,12 +211,12 @@ def encoded(docs: DataFrame, tokenizer_path: str, id_col: str, text_col: str) ->
             for run in arrow_runs(b, "text", OUT_BYTES):
                 ids, n = tok.encode_bytes(*texts_of(run.column("text")))
                 ids = np.insert(ids, np.cumsum(n), END_ID)
-                yield pa.record_batch({"doc_id": run.column("doc_id"), "ids": _binary(ids, n + 1)})
+                yield pa.record_batch({"doc_id": run.column("doc_id"), "ids": binary(ids, n + 1)})
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(work, "doc_id long, ids binary")
 
 
-def _flat(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
+def flat_ids(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
     """All ids of a binary column, and where each row's begin (one more: the end)."""
     data, offsets = texts_of(column)
     return data.view(f"<u{width}"), offsets // width
@@ -230,8 +230,8 @@ def _blocker(width: int, rank_of: Broadcast):
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seq, skip = TaskContext.get().partitionId(), 0, 0
-        for b in batches:
-            flat, at = _flat(b.column("ids"), width)
+        for b in (run for batch in batches for run in arrow_runs(batch, "ids", OUT_BYTES)):
+            flat, at = flat_ids(b.column("ids"), width)
             block = at[:-1] // BLOCK_IDS
             cuts = np.flatnonzero(np.concatenate(([True], block[1:] != block[:-1], [True]))) if len(block) else []
             for x, z in zip(cuts, cuts[1:], strict=False):
@@ -261,8 +261,9 @@ def id_counts(ids: DataFrame, vocabulary: int, width: int) -> np.ndarray:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(vocabulary, np.int64)
-        for b in batches:
-            total += np.bincount(_flat(b.column("ids"), width)[0], minlength=vocabulary)
+        for batch in batches:
+            for b in arrow_runs(batch, "ids", OUT_BYTES):
+                total += np.bincount(flat_ids(b.column("ids"), width)[0], minlength=vocabulary)
         yield pa.record_batch({"id": np.flatnonzero(total), "n": total[total > 0]})
 
     out = np.zeros(vocabulary, np.int64)
