@@ -2,7 +2,7 @@ r"""Benchmark decontamination with a distributed positional inverted index, in D
 
 The corpus is scanned once to count the test set's terms and once to write the index: for every term that is one of the
 two rarest of some test window, a posting list (document, sorted positions) for each document, clustered by term; terms
-with long lists are salted over several partitions. A window's two lists, shifted by the terms' offsets, are intersected
+with more than a partition's share of all postings are salted over several partitions. A window's two lists, shifted by the terms' offsets, are intersected
 within each document (equal shifted positions, or up to `slop` apart for proximity); what is left is compared with the
 document's own words. The test set's tables are broadcast only if their measured bytes are under `BROADCAST_BYTES`;
 beyond that the same joins shuffle. Text is read where it lies: only documents with candidates are read a third time.
@@ -17,14 +17,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillgate.llm.common import ascii_lower, stored
+from quillgate.llm.common import ascii_lower, fresh, partitions, scratch, stored
 
 #: Separators: the ASCII characters that are neither digits nor letters.
 BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 WIDTH = 10
 BROADCAST_BYTES = 16 << 20
-#: Postings of one term in one partition, about; ids of candidate documents that may be broadcast.
-SALT_ROWS, BROADCAST_IDS = 1 << 20, 1 << 20
+#: Postings of one term in one partition at least, where its share of all is larger than a partition's; ids that may be broadcast.
+SALT_ROWS, BROADCAST_IDS = 256, 1 << 20
 
 
 def raw_words(text: Column) -> Column:
@@ -72,7 +72,9 @@ def rarest(windows: DataFrame, counts: DataFrame) -> DataFrame:
 
 def build_index(docs: DataFrame, terms: DataFrame) -> DataFrame:
     """term, salt, doc_id, h, positions of the given terms (term, n), clustered by term."""
-    salts = _small(terms.select("term", F.ceil(F.col("n") / SALT_ROWS).cast("int").alias("salts")))
+    total = terms.agg(F.sum("n")).first()[0] or 0
+    most = max(SALT_ROWS, total // (2 * partitions(docs.sparkSession)))
+    salts = _small(terms.select("term", F.ceil(F.col("n") / most).cast("int").alias("salts")))
     postings = keyed(docs).select("doc_id", "h", F.posexplode(words(F.col("text"))).alias("pos", "term")).join(salts, "term")
     postings = postings.select("term", F.pmod(F.xxhash64("doc_id", "h"), "salts").alias("salt"), "doc_id", "h", "pos")
     lists = postings.repartition("term", "salt").groupBy("term", "salt", "doc_id", "h").agg(F.array_sort(F.collect_list("pos")).alias("positions"))
@@ -98,7 +100,8 @@ def phrase_matches(docs: DataFrame, candidates: DataFrame) -> DataFrame:
     if own.count() <= BROADCAST_IDS:  # so the texts of other documents aren't shuffled
         ids = own.select("d2", "h2")
         k = k.join(F.broadcast(ids), k.doc_id.eqNullSafe(ids.d2) & (k.h == ids.h2), "left_semi")
-    both = k.join(own, k.doc_id.eqNullSafe(own.d2) & (k.h == own.h2)).dropDuplicates(["doc_id", "h"])
+    both = k.join(own, k.doc_id.eqNullSafe(own.d2) & (k.h == own.h2)).drop("d2", "h2")
+    both = both.repartition(partitions(docs.sparkSession), "doc_id", "h").dropDuplicates(["doc_id", "h"])  # few bytes, much work: not to be coalesced
     w = F.col("w")
     fits = lambda c: F.transform(F.filter(c["starts"], lambda s: F.array_join(F.slice(w, s + 1, c["len"]), " ") == c["phrase"]), lambda s: F.struct(s.alias("start"), c["len"].alias("len"), c["phrase"].alias("phrase")))
     hits = both.select("doc_id", "h", words(F.col("text")).alias("w"), "c").select("doc_id", "h", F.array_sort(F.flatten(F.transform("c", fits))).alias("hits"))
@@ -113,20 +116,27 @@ def covered(hits: Column) -> Column:
     return F.aggregate(hits, zero, step, lambda acc: acc["n"])
 
 
+def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH) -> DataFrame:
+    """d2, h2 (doc_id and hash of the text), n_hit, items (sorted ids as strings) of the texts that hold a window."""
+    with scratch(docs.sparkSession):
+        windows = stored(windows_of(benchmark, width), "windows")
+        terms = windows.select(F.explode("terms").alias("term")).distinct()
+        counts = stored(term_counts(docs, terms), "terms")
+        anchors = stored(rarest(windows, counts), "anchors")
+        used = anchors.select(F.col("t1").alias("term"), F.col("n1").alias("n")).unionByName(anchors.select(F.col("t2").alias("term"), F.col("n2").alias("n"))).distinct()
+        found = stored(phrase_matches(docs, intersect(build_index(docs, used), anchors)), "matches")
+        ids = windows.where("item_id is not null").select("phrase", F.col("item_id").cast("string").alias("item")).distinct()
+        phrases = found.select("doc_id", "h", F.explode(F.array_distinct(F.transform("hits", lambda x: x["phrase"]))).alias("phrase"))
+        items = phrases.join(_small(ids), "phrase").groupBy("doc_id", "h").agg(F.array_sort(F.collect_set("item")).alias("items"))
+        hit = found.select("doc_id", "h", covered(F.col("hits")).alias("n_hit"), F.array().cast("array<string>").alias("items"))
+        hit = hit.unionByName(items.withColumn("n_hit", F.lit(0).cast("long"))).groupBy("doc_id", "h").agg(F.max("n_hit").alias("n_hit"), F.max("items").alias("items"))
+        hit = stored(hit.select(F.col("doc_id").alias("d2"), F.col("h").alias("h2"), "n_hit", "items"), "hits", keep=True)
+    return hit
+
+
 def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH) -> DataFrame:
     """doc_id, h, n_words, n_hit, items (sorted ids as strings) of every row of docs."""
-    windows = stored(windows_of(benchmark, width), "windows")
-    terms = windows.select(F.explode("terms").alias("term")).distinct()
-    counts = stored(term_counts(docs, terms), "terms")
-    anchors = stored(rarest(windows, counts), "anchors")
-    used = anchors.select(F.col("t1").alias("term"), F.col("n1").alias("n")).unionByName(anchors.select(F.col("t2").alias("term"), F.col("n2").alias("n"))).distinct()
-    found = stored(phrase_matches(docs, intersect(build_index(docs, used), anchors)), "matches")
-    ids = windows.where("item_id is not null").select("phrase", F.col("item_id").cast("string").alias("item")).distinct()
-    phrases = found.select("doc_id", "h", F.explode(F.array_distinct(F.transform("hits", lambda x: x["phrase"]))).alias("phrase"))
-    items = phrases.join(_small(ids), "phrase").groupBy("doc_id", "h").agg(F.array_sort(F.collect_set("item")).alias("items"))
-    hit = found.select("doc_id", "h", covered(F.col("hits")).alias("n_hit"), F.array().cast("array<string>").alias("items"))
-    hit = hit.unionByName(items.withColumn("n_hit", F.lit(0).cast("long"))).groupBy("doc_id", "h").agg(F.max("n_hit").alias("n_hit"), F.max("items").alias("items"))
-    hit = hit.select(F.col("doc_id").alias("d2"), F.col("h").alias("h2"), "n_hit", "items")
+    hit = contaminated(docs, benchmark, width)
     rows = docs.select("doc_id", F.xxhash64("text").alias("h"), F.size(raw_words(F.col("text"))).cast("long").alias("n_words"))
     out = rows.join(hit, rows.doc_id.eqNullSafe(hit.d2) & (rows.h == hit.h2), "left")
     return out.select("doc_id", "h", "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"))
@@ -134,7 +144,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH) ->
 
 def clean(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH) -> DataFrame:
     """The rows of docs without a hit, all columns."""
-    hit = stored(decontaminate(docs, benchmark, width).where("n_hit > 0").select(F.col("doc_id").alias("_d"), F.col("h").alias("_h")).distinct(), "contaminated")
+    d, h = fresh(docs, "hit_doc"), fresh(docs, "hit_text")
+    hit = contaminated(docs, benchmark, width).select(F.col("d2").alias(d), F.col("h2").alias(h))
     if hit.count() <= BROADCAST_IDS:
         hit = F.broadcast(hit)
-    return docs.join(hit, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.xxhash64("text") == F.col("_h")), "left_anti")
+    return docs.join(hit, F.col("doc_id").eqNullSafe(F.col(d)) & (F.xxhash64("text") == F.col(h)), "left_anti")
