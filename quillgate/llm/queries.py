@@ -22,8 +22,7 @@ URL_RULES = [("com", "/en/", "block"), ("example.com", "/en/7", "allow"), ("net"
 def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = spark.createDataFrame([(-1, 0, "user", PROBE), (-1, 1, "assistant", PROBE)], "conv_id long, turn long, role string, text string")
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(own)
-    events = rows.select("conv_id", F.col("turn").alias("seq"), F.lit("message").alias("event"), F.lit(None).cast("string").alias("msg_id"), "role", "text")
-    return chat.digests(chat.format_chats(events))
+    return chat.digests(chat.format_chats(chat.streamed(rows)))
 
 
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,8 +68,8 @@ def op9_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = mixing.mix(table(spark, sf_dir, "documents"))
-    return found.select("doc_id", *[F.col(f"_{c}").alias(c) for c in ("source", "lang", "topic", "tokens", "weight", "prob", "sampled")])
+    found, name = mixing.mix(table(spark, sf_dir, "documents"), ["doc_id"])
+    return found.select("doc_id", f"{name}.*")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
