@@ -21,12 +21,13 @@ from itertools import accumulate, combinations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from quillgate.llm.common import slices, stored
+from quillgate.llm.common import arrow_runs, fresh, scratch, slices, stored
 from quillgate.llm.components import roots
 
 BITS, SEED = 64, 42
@@ -76,12 +77,13 @@ def fingerprints_of(texts: list[str], hashes: Callable[[str], list[bytes]]) -> n
 def fingerprints(docs: DataFrame, k: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, fp (the 64 bits as a signed long)."""
 
-    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pd.DataFrame({"doc_id": b.doc_id, "fp": fingerprints_of(b.text.fillna("").tolist(), lambda t: shingle_hashes(t, k)).view(np.int64)})
+            texts = [t or "" for t in b.column("text").to_pylist()]
+            yield pa.record_batch({"doc_id": b.column("doc_id"), "fp": fingerprints_of(texts, lambda t: shingle_hashes(t, k)).view(np.int64)})
 
     ids = F.col(id_col).cast("long").alias("doc_id")
-    return docs.select(ids, F.col(text_col).alias("text")).mapInPandas(work, "doc_id long, fp long")
+    return docs.select(ids, F.col(text_col).alias("text")).mapInArrow(work, "doc_id long, fp long")
 
 
 def _masks(bits: int, most: int) -> tuple[np.ndarray, np.ndarray]:
@@ -216,89 +218,97 @@ def near_duplicates(docs: DataFrame, k: int = 4, radius: int = 4, id_col: str =
 
 
 #: Word-set fingerprints of the stage that checks its links, and ids that may be broadcast.
-STAGE_SEEDS, BROADCAST_IDS = (42, 43, 44), 1 << 20
+STAGE_SEEDS, BROADCAST_IDS = (42,), 1 << 20
 #: Leading bits of a shingle's hash by which shingles are counted.
 LEVEL_BITS = 18
 
 
 def _candidates(texts: DataFrame, fp: str, radius: int) -> DataFrame:
-    """x, y: texts' documents whose fingerprints link. Of equal fingerprints, each with the first and with the one before."""
-    by_fp = W.partitionBy(fp).orderBy("doc")
-    same = texts.select(fp, "doc", F.first("doc").over(by_fp).alias("first"), F.lag("doc").over(by_fp).alias("before"))
-    same = same.select(F.col("doc").alias("y"), F.explode(F.array("first", "before")).alias("x")).where("x < y")
+    """x, y: texts' documents whose fingerprints link. Of equal fingerprints, each with the first. These are a cheap start; what
+    they miss is found from common shingles."""
     nodes = texts.groupBy(fp).agg(F.min("doc").alias("doc"))
+    same = texts.select(fp, F.col("doc").alias("y")).join(nodes.select(fp, F.col("doc").alias("x")), fp).where("x < y").select("x", "y")
     near = links(nodes.select(F.col(fp).alias("fp")), radius, direct=True).distinct()
     name = lambda c, out: nodes.select(F.col(fp).alias(c), F.col("doc").alias(out))
-    near = near.join(name("a", "x"), "a").join(name("b", "y"), "b").select(F.greatest("x", "y").alias("y"), F.least("x", "y").alias("x"))
+    near = near.join(name("a", "x"), "a").join(name("b", "y"), "b").select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
     return same.unionByName(near)
 
 
-def _sets(docs: DataFrame, texts: DataFrame, k: int, repeated: bool) -> DataFrame:
-    """doc, s: the sorted XXH64 of the k-word shingles of texts' documents."""
-    ids = texts.select(F.col("doc").alias("doc_id")).distinct()
+def _texts_of(docs: DataFrame, ids: DataFrame, repeated: bool) -> DataFrame:
+    """doc, text of ids (doc)."""
+    ids = ids.select(F.col("doc").alias("doc_id")).distinct()
     ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    out = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi").select(F.col("doc_id").alias("doc"), "text")
+    return out.dropDuplicates(["doc"]) if repeated else out
+
+
+def _hashed(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[tuple[np.ndarray, list[np.ndarray]]]:
+    """Documents and the sorted distinct XXH64 of their k-word shingles, of a few texts at a time."""
+    for batch in batches:
+        for b in arrow_runs(batch, "text", CHARS):
+            yield b.column("doc").to_numpy(), [np.unique(np.frombuffer(b"".join(shingle_hashes(t or "", k)), ">u8").astype("<u8")) for t in b.column("text").to_pylist()]
 
-    def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            yield pd.DataFrame({"doc": b.doc_id, "s": [np.unique(np.frombuffer(b"".join(shingle_hashes(t, k)), ">u8").astype("<u8")).tobytes() for t in b.text.fillna("")]})
 
-    out = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi").mapInPandas(sets, "doc long, s binary")
-    return stored(out.dropDuplicates(["doc"]) if repeated else out, "shingles", "none")
+def _sets(texts: DataFrame, k: int) -> DataFrame:
+    """doc, s: the set of shingles of each text (doc, text), as bytes."""
 
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for doc, each in _hashed(batches, k):
+            yield pa.record_batch({"doc": doc, "s": pa.array([h.tobytes() for h in each], pa.binary())})
 
-def _levels(own: DataFrame) -> np.ndarray:
+    return texts.mapInArrow(sets, "doc long, s binary")
+
+
+def _levels(texts: DataFrame, k: int) -> np.ndarray:
     """By the leading bits of a shingle's hash, how many there are: eight steps for each doubling."""
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << LEVEL_BITS, np.int64)
-        for b in batches:
-            h = np.frombuffer(b"".join(b.s), "<u8")
-            total += np.bincount((h >> np.uint64(BITS - LEVEL_BITS)).astype(np.int64), minlength=1 << LEVEL_BITS)
-        parts = total.reshape(64, -1)
-        yield pd.DataFrame({"part": range(64), "n": [x.tobytes() for x in parts]})
+        for _, each in _hashed(batches, k):
+            total += np.bincount((np.concatenate(each) >> np.uint64(BITS - LEVEL_BITS)).astype(np.int64), minlength=1 << LEVEL_BITS)
+        yield pa.record_batch({"part": pa.array(range(64), pa.int32()), "n": pa.array([x.tobytes() for x in total.reshape(64, -1)], pa.binary())})
 
     def add(key: tuple, b: pd.DataFrame) -> pd.DataFrame:
         total = sum(np.frombuffer(x, np.int64) for x in b.n)
         return pd.DataFrame({"part": [key[0]], "n": [np.minimum(8 * np.log2(total + 1), 255).astype(np.uint8).tobytes()]})
 
-    got = own.mapInPandas(count, "part int, n binary").groupBy("part").applyInPandas(add, "part int, n binary").orderBy("part").collect()
+    got = texts.mapInArrow(count, "part int, n binary").groupBy("part").applyInPandas(add, "part int, n binary").orderBy("part").collect()
     return np.frombuffer(b"".join(x["n"] for x in got), np.uint8) if got else np.zeros(1 << LEVEL_BITS, np.uint8)
 
 
-def _postings(own: DataFrame, similarity: float) -> DataFrame:
+def _postings(texts: DataFrame, k: int, similarity: float) -> DataFrame:
     """s, doc, n, at: the shingles that two similar sets cannot all miss, where another document has the same. Shingles
     are ordered by level, then hash; of sets with at least that similarity one of the first n - ceil(similarity x n) + 1 is common."""
-    level = _levels(own)
+    level = _levels(texts, k)
 
-    def first(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            s, size = [], []
-            for x in b.s:
-                h = np.frombuffer(x, "<u8")
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for doc, each in _hashed(batches, k):
+            s = []
+            for h in each:
                 most = len(h) - math.ceil(similarity * len(h) - 1e-9) + 1 if len(h) else 0
                 s.append(h[np.lexsort((h, level[(h >> np.uint64(BITS - LEVEL_BITS)).astype(np.int64)]))[:most]])
-                size.append(len(h))
-            each = [len(x) for x in s]
-            at = np.concatenate([np.arange(m) for m in each]) if each else np.zeros(0, np.int64)
-            yield pd.DataFrame({"s": np.concatenate(s).view(np.int64) if s else at, "doc": np.repeat(b.doc.to_numpy(), each), "n": np.repeat(np.array(size, np.int64), each), "at": at})
+            n = [len(x) for x in s]
+            at = np.concatenate([np.arange(m, dtype=np.int32) for m in n])
+            yield pa.record_batch({"s": np.concatenate(s).view(np.int64), "doc": np.repeat(doc, n), "n": np.repeat(np.array([len(h) for h in each], np.int32), n), "at": at})
 
-    rows = own.mapInPandas(first, "s long, doc long, n int, at int")
+    rows = texts.mapInArrow(first, "s long, doc long, n int, at int")
+    # one shuffle of these rows is what the stage costs most; a crowd's copies have a row each for a shingle, never pairs
     return stored(rows.withColumn("c", F.count("*").over(W.partitionBy("s"))).where("c > 1").drop("c"), "postings")
 
 
 def _named(posts: DataFrame, found: DataFrame, name: str) -> DataFrame:
     """posts with label, the component by the links found; only of shingles that several components have."""
     label = posts.join(roots(found).withColumnRenamed("node", "doc"), "doc", "left").withColumn("label", F.coalesce("root", "doc")).drop("root")
-    mixed = stored(label, f"{name}-all").withColumns({"lo": F.min("label").over(W.partitionBy("s")), "hi": F.max("label").over(W.partitionBy("s"))})
-    return stored(mixed.where("lo < hi").drop("lo", "hi"), name)
+    label = stored(label, f"{name}-all")
+    mixed = label.groupBy("s").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("s")
+    return stored(label.join(mixed, "s", "left_semi"), name)
 
 
-def _linked(own: DataFrame, found: DataFrame, similarity: float) -> DataFrame:
-    """The links found by pairs, and those that are needed to connect all similar texts.
+def _linked(own: DataFrame, posts: DataFrame, found: DataFrame, similarity: float) -> DataFrame:
+    """The links found by pairs, and those that are needed to connect all similar texts. own: the sets of all texts of posts.
 
     Each text meets the one of its shingle that shares most with others. What is still apart after that meets everything of
     another component with which it has a shingle in common, so nothing that is left untested could join two components."""
-    posts = _postings(own, similarity)
     apart = _named(posts, found, "apart")
     shared = posts.groupBy("doc").agg((F.count("*") / F.max("n")).alias("part"))
     hub = apart.join(shared, "doc").groupBy("s").agg(F.max_by(F.struct("doc", "label"), F.struct("part", -F.col("doc"))).alias("hub"))
@@ -348,18 +358,23 @@ def deduplicated(docs: DataFrame, k: int = 5, radius: int = 4, similarity: float
             texts = b.text.fillna("").tolist()
             yield b.drop(columns="text").assign(**{f"fp{i}": fingerprints_of(texts, lambda t, s=s: word_set_hashes(t, s)).view(np.int64) for i, s in enumerate(seeds)})
 
-    fp = [f"fp{i}" for i in range(len(seeds))]
-    own = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("h"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("key"), "text")
-    rows = stored(own.mapInPandas(work, "doc_id long, h long, key string, " + ", ".join(f"{x} long" for x in fp)), "word-sets")
-    texts = stored(rows.groupBy("key").agg(F.min("doc_id").alias("doc"), *[F.min(x).alias(x) for x in fp]), "texts")
-    found = [stored(_candidates(texts, x, radius), f"candidates-{x}") for x in fp]
-    pairs = stored(reduce(DataFrame.unionByName, found).where("x < y").distinct(), "pairs")
-    unique = rows.groupBy("doc_id").count().where("count > 1").isEmpty()
-    sets = _sets(docs, texts, k, not unique)
-    found = stored(_similar(sets, pairs, similarity), "links")
-    later = roots(_linked(sets, found, similarity)).select(F.col("node").alias("doc"), F.lit(True).alias("linked"))
-    gone = rows.select("doc_id", "h", "key").join(texts.select("key", "doc").join(later, "doc", "left"), "key").where("linked or doc_id <> doc")
-    gone = stored(gone.select(F.col("doc_id").alias("_d"), F.col("h").alias("_h")).distinct(), "near-copies")
-    out = docs.join(F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone, (F.col("doc_id") == F.col("_d")) & (F.xxhash64("text") == F.col("_h")), "left_anti")
-    unique = unique or rows.groupBy("doc_id", "key").count().where("count > 1").isEmpty()
+    with scratch(docs.sparkSession):
+        fp = [f"fp{i}" for i in range(len(seeds))]
+        own = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("h"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("key"), "text")
+        rows = stored(own.mapInPandas(work, "doc_id long, h long, key string, " + ", ".join(f"{x} long" for x in fp)), "word-sets")
+        texts = stored(rows.groupBy("key").agg(F.min("doc_id").alias("doc"), *[F.min(x).alias(x) for x in fp]), "texts")
+        found = [stored(_candidates(texts, x, radius), f"candidates-{x}") for x in fp]
+        pairs = stored(reduce(DataFrame.unionByName, found).where("x < y").distinct(), "pairs")
+        unique = rows.groupBy("doc_id").count().where("count > 1").isEmpty()
+        posts = _postings(_texts_of(docs, texts, not unique), k, similarity)
+        # sets are made anew for the texts that have a partner at all, which are few: all of them are as large as the corpus
+        some = posts.select("doc").unionByName(pairs.select(F.col("x").alias("doc"))).unionByName(pairs.select(F.col("y").alias("doc")))
+        sets = stored(_sets(_texts_of(docs, some, not unique), k), "shingles", "none")
+        found = stored(_similar(sets, pairs, similarity), "links")
+        later = roots(_linked(sets, posts, found, similarity)).select(F.col("node").alias("doc"), F.lit(True).alias("linked"))
+        gone = rows.select("doc_id", "h", "key").join(texts.select("key", "doc").join(later, "doc", "left"), "key").where("linked or doc_id <> doc")
+        d, h = fresh(docs, "copy_doc"), fresh(docs, "copy_text")
+        gone = stored(gone.select(F.col("doc_id").alias(d), F.col("h").alias(h)).distinct(), "near-copies", keep=True)
+        unique = unique or rows.groupBy("doc_id", "key").count().where("count > 1").isEmpty()
+    out = docs.join(F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone, (F.col("doc_id") == F.col(d)) & (F.xxhash64("text") == F.col(h)), "left_anti")
     return out if unique else out.where("doc_id is null").unionByName(out.where("doc_id is not null").dropDuplicates(["doc_id", "text"]))

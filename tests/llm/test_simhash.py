@@ -147,3 +147,9 @@ def test_stage_connects_a_family_by_its_base(spark):
         texts.append(" ".join(w))
     texts.insert(200, " ".join(base))
     assert kept(spark, texts) == brute_kept(texts)
+
+
+def test_ids_beyond_doubles(spark):
+    rows = spark.createDataFrame([(2**53 + 1, "a b c d e"), (None, "a b c d e"), (2**53 + 3, "x y z")], "doc_id long, text string")
+    got = S.near_duplicates(rows).collect()
+    assert sorted(((r["doc_id"] or 0), r["component_id"]) for r in got) == [(0, 2**53 + 1), (2**53 + 1, 2**53 + 1), (2**53 + 3, 2**53 + 3)]
