@@ -219,6 +219,8 @@ def near_duplicates(docs: DataFrame, k: int = 4, radius: int = 4, id_col: str =
 
 #: Word-set fingerprints of the stage that checks its links, and ids that may be broadcast.
 STAGE_SEEDS, BROADCAST_IDS = (42,), 1 << 20
+#: Pairs of one text that are tested at once.
+PAIRED = 64
 #: Leading bits of a shingle's hash by which shingles are counted.
 LEVEL_BITS = 18
 
@@ -234,12 +236,12 @@ def _candidates(texts: DataFrame, fp: str, radius: int) -> DataFrame:
     return same.unionByName(near)
 
 
-def _texts_of(docs: DataFrame, ids: DataFrame, repeated: bool) -> DataFrame:
-    """doc, text of ids (doc)."""
-    ids = ids.select(F.col("doc").alias("doc_id")).distinct()
-    ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    out = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi").select(F.col("doc_id").alias("doc"), "text")
-    return out.dropDuplicates(["doc"]) if repeated else out
+def _texts_of(docs: DataFrame, ids: DataFrame, few: bool, repeated: bool) -> DataFrame:
+    """doc, text of ids (doc, distinct), with the other columns of ids; of rows with one doc_id the least text."""
+    own, ids = docs.select(F.col("doc_id").cast("long").alias("doc"), "text"), F.broadcast(ids) if few else ids
+    if repeated:
+        own = own.join(ids.select("doc"), "doc", "left_semi").groupBy("doc").agg(F.min("text").alias("text"))
+    return own.join(ids, "doc")
 
 
 def _hashed(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[tuple[np.ndarray, list[np.ndarray]]]:
@@ -249,16 +251,6 @@ def _hashed(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[tuple[np.ndar
             yield b.column("doc").to_numpy(), [np.unique(np.frombuffer(b"".join(shingle_hashes(t or "", k)), ">u8").astype("<u8")) for t in b.column("text").to_pylist()]
 
 
-def _sets(texts: DataFrame, k: int) -> DataFrame:
-    """doc, s: the set of shingles of each text (doc, text), as bytes."""
-
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for doc, each in _hashed(batches, k):
-            yield pa.record_batch({"doc": doc, "s": pa.array([h.tobytes() for h in each], pa.binary())})
-
-    return texts.mapInArrow(sets, "doc long, s binary")
-
-
 def _levels(texts: DataFrame, k: int) -> np.ndarray:
     """By the leading bits of a shingle's hash, how many there are: eight steps for each doubling."""
 
@@ -304,45 +296,75 @@ def _named(posts: DataFrame, found: DataFrame, name: str) -> DataFrame:
     return stored(label.join(mixed, "s", "left_semi"), name)
 
 
-def _linked(own: DataFrame, posts: DataFrame, found: DataFrame, similarity: float) -> DataFrame:
-    """The links found by pairs, and those that are needed to connect all similar texts. own: the sets of all texts of posts.
+def _possible(similarity: float, x: Callable[[str], str], y: Callable[[str], str]) -> str:
+    """Whether two texts that share a shingle can be similar, in SQL. As all order shingles alike, they have no more in common than
+    what is before it in both, itself, and what is after it in both."""
+    most = f"least({x('at')}, {y('at')}) + 1 + least({x('n')} - {x('at')}, {y('n')} - {y('at')}) - 1"
+    return f"{most} + 1e-6 >= ({x('n')} + {y('n')}) * {similarity / (1 + similarity)!r}"
+
+
+def _linked(docs: DataFrame, posts: DataFrame, found: DataFrame, k: int, similarity: float, repeated: bool) -> DataFrame:
+    """The links found by pairs, and those that are needed to connect all similar texts.
 
     Each text meets the one of its shingle that shares most with others. What is still apart after that meets everything of
     another component with which it has a shingle in common, so nothing that is left untested could join two components."""
     apart = _named(posts, found, "apart")
     shared = posts.groupBy("doc").agg((F.count("*") / F.max("n")).alias("part"))
-    hub = apart.join(shared, "doc").groupBy("s").agg(F.max_by(F.struct("doc", "label"), F.struct("part", -F.col("doc"))).alias("hub"))
-    star = apart.join(hub, "s").where("label <> hub.label").select(F.least("doc", "hub.doc").alias("x"), F.greatest("doc", "hub.doc").alias("y")).distinct()
-    tested = stored(star, "stars")
-    found = stored(found.unionByName(_similar(own, tested, similarity)), "links-stars")
+    hub = apart.join(shared, "doc").groupBy("s").agg(F.max_by(F.struct("doc", "label", "n", "at"), F.struct("part", -F.col("doc"))).alias("hub"))
+    star = apart.join(hub, "s").where("label <> hub.label").where(_possible(similarity, str, "hub.{}".format))
+    tested = stored(star.select(F.least("doc", "hub.doc").alias("x"), F.greatest("doc", "hub.doc").alias("y")).distinct(), "stars")
+    found = stored(found.unionByName(_similar(docs, tested, k, similarity, repeated)), "links-stars")
     apart = _named(apart.drop("label"), found, "still-apart")
     most = apart.groupBy("s", "label").count().groupBy("s").agg(F.max_by("label", F.struct("count", "label")).alias("most"))
     apart = stored(apart.join(most, "s").withColumn("minor", F.col("label") != F.col("most")).drop("most"), "minor")
     side = lambda c: apart.select("s", *[F.col(x).alias(f"{c}_{x}") for x in ("doc", "n", "at", "label", "minor")])
-    both = side("x").where("x_minor").join(side("y"), "s").where("x_label <> y_label and (not y_minor or x_doc < y_doc) and least(x_n, y_n) + 1e-9 >= greatest(x_n, y_n) * " + repr(similarity))
+    both = side("x").where("x_minor").join(side("y"), "s").where("x_label <> y_label and (not y_minor or x_doc < y_doc)").where(_possible(similarity, "x_{}".format, "y_{}".format))
     swap = F.col("x_doc") > F.col("y_doc")
     both = both.select(*[F.when(swap, F.col(f"{b}_{c}")).otherwise(F.col(f"{a}_{c}")).alias(f"{a}_{c}") for a, b in ("xy", "yx") for c in ("doc", "n", "at")])
     both = both.groupBy("x_doc", "y_doc", "x_n", "y_n").agg(F.count("*").alias("c"), F.max("x_at").alias("x_at"), F.max("y_at").alias("y_at"))
     most = F.col("c") + F.least(F.col("x_n") - F.col("x_at"), F.col("y_n") - F.col("y_at")) - 1  # common shingles at most
     both = both.where(most + 1e-6 >= (F.col("x_n") + F.col("y_n")) * (similarity / (1 + similarity))).select(F.col("x_doc").alias("x"), F.col("y_doc").alias("y"))
     rest = stored(both.join(tested, ["x", "y"], "left_anti"), "rest")
-    return found.unionByName(_similar(own, rest, similarity))
+    return found.unionByName(_similar(docs, rest, k, similarity, repeated))
 
 
-def _similar(own: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
-    """The pairs whose sets of shingles have at least that Jaccard similarity."""
+def _similar(docs: DataFrame, pairs: DataFrame, k: int, similarity: float, repeated: bool) -> DataFrame:
+    """The pairs (x, y, distinct, stored) whose texts' sets of shingles have at least that Jaccard similarity.
 
-    def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            fits = []
-            for x, y in zip(b.sx, b.sy, strict=True):
-                x, y = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                fits.append(both + 1e-9 >= similarity * (len(x) + len(y) - both))
-            yield b.loc[fits, ["x", "y"]].rename(columns={"x": "a", "y": "b"})
+    Each pair is tested at the one of its texts that has more pairs, PAIRED of them at a time. So a set is sent once for each pair of
+    its text with a busier one, and once for each PAIRED of its own: what is shuffled is about a set for each pair."""
+    ends = pairs.select(F.col("x").alias("doc")).unionByName(pairs.select(F.col("y").alias("doc"))).groupBy("doc").count()
+    if ends.isEmpty():
+        return pairs.select(F.col("x").alias("a"), F.col("y").alias("b"))
+    n = lambda c: ends.select(F.col("doc").alias(c), F.col("count").alias(f"n_{c}"))
+    more = F.struct("n_y", "y") > F.struct("n_x", "x")
+    sided = pairs.join(n("x"), "x").join(n("y"), "y").select(F.when(more, F.col("y")).otherwise(F.col("x")).alias("at"), F.when(more, F.col("x")).otherwise(F.col("y")).alias("doc"), F.greatest("n_x", "n_y").alias("n"))
+    sided = sided.select("at", "doc", F.pmod(F.xxhash64("doc"), F.ceil(F.col("n") / PAIRED)).cast("int").alias("part"))
+    sent = sided.unionByName(sided.select("at", F.col("at").alias("doc"), "part").distinct())
+    sent = stored(sent.groupBy("doc").agg(F.collect_list(F.struct("at", "part")).alias("to")), "sent")
+    texts = _texts_of(docs, sent, pairs.count() <= BROADCAST_IDS, repeated)
 
-    both = pairs.join(own.select(F.col("doc").alias("x"), F.col("s").alias("sx")), "x").join(own.select(F.col("doc").alias("y"), F.col("s").alias("sy")), "y")
-    return both.select("x", "y", "sx", "sy").mapInPandas(check, "a long, b long")
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for b in arrow_runs(batch, "text", CHARS):
+                for doc, text, to in zip(b.column("doc").to_pylist(), b.column("text").to_pylist(), b.column("to").to_pylist(), strict=True):
+                    s = np.unique(np.frombuffer(b"".join(shingle_hashes(text or "", k)), ">u8").astype("<u8")).tobytes()
+                    run = max(1, CHARS // max(1, len(s)))
+                    for i in range(0, len(to), run):
+                        own = to[i : i + run]
+                        yield pa.record_batch({"at": pa.array([x["at"] for x in own], pa.int64()), "part": pa.array([x["part"] for x in own], pa.int32()), "doc": pa.array([doc] * len(own), pa.int64()), "s": pa.array([s] * len(own), pa.binary())})
+
+    def check(key: tuple, b: pd.DataFrame) -> pd.DataFrame:
+        at, fits = int(key[0]), []
+        own, rest = np.frombuffer(b.s[b.doc == at].iloc[0], "<u8"), b[b.doc != at]
+        for doc, s in zip(rest.doc.tolist(), rest.s, strict=True):
+            x = np.frombuffer(s, "<u8")
+            both = len(np.intersect1d(own, x, assume_unique=True))
+            if both + 1e-9 >= similarity * (len(own) + len(x) - both):
+                fits.append((min(at, doc), max(at, doc)))
+        return pd.DataFrame(fits, columns=["a", "b"], dtype="int64")
+
+    return texts.mapInArrow(sets, "at long, part int, doc long, s binary").groupBy("at", "part").applyInPandas(check, "a long, b long")
 
 
 def deduplicated(docs: DataFrame, k: int = 5, radius: int = 4, similarity: float = 0.8, seeds: tuple[int, ...] = STAGE_SEEDS) -> DataFrame:
@@ -356,22 +378,24 @@ def deduplicated(docs: DataFrame, k: int = 5, radius: int = 4, similarity: float
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             texts = b.text.fillna("").tolist()
-            yield b.drop(columns="text").assign(**{f"fp{i}": fingerprints_of(texts, lambda t, s=s: word_set_hashes(t, s)).view(np.int64) for i, s in enumerate(seeds)})
+            yield b.drop(columns="text").assign(void=[not t.encode("utf-8", "surrogatepass").split() for t in texts], **{f"fp{i}": fingerprints_of(texts, lambda t, s=s: word_set_hashes(t, s)).view(np.int64) for i, s in enumerate(seeds)})
 
     with scratch(docs.sparkSession):
         fp = [f"fp{i}" for i in range(len(seeds))]
         own = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("h"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("key"), "text")
-        rows = stored(own.mapInPandas(work, "doc_id long, h long, key string, " + ", ".join(f"{x} long" for x in fp)), "word-sets")
-        texts = stored(rows.groupBy("key").agg(F.min("doc_id").alias("doc"), *[F.min(x).alias(x) for x in fp]), "texts")
+        rows = stored(own.mapInPandas(work, "doc_id long, h long, key string, void boolean, " + ", ".join(f"{x} long" for x in fp)), "word-sets")
+        texts = stored(rows.groupBy("key").agg(F.min("doc_id").alias("doc"), F.max("void").alias("void"), *[F.min(x).alias(x) for x in fp]), "texts")
         found = [stored(_candidates(texts, x, radius), f"candidates-{x}") for x in fp]
         pairs = stored(reduce(DataFrame.unionByName, found).where("x < y").distinct(), "pairs")
         unique = rows.groupBy("doc_id").count().where("count > 1").isEmpty()
-        posts = _postings(_texts_of(docs, texts, not unique), k, similarity)
-        # sets are made anew for the texts that have a partner at all, which are few: all of them are as large as the corpus
-        some = posts.select("doc").unionByName(pairs.select(F.col("x").alias("doc"))).unionByName(pairs.select(F.col("y").alias("doc")))
-        sets = stored(_sets(_texts_of(docs, some, not unique), k), "shingles", "none")
-        found = stored(_similar(sets, pairs, similarity), "links")
-        later = roots(_linked(sets, posts, found, similarity)).select(F.col("node").alias("doc"), F.lit(True).alias("linked"))
+        ids = texts.select("doc").distinct()
+        posts = _postings(_texts_of(docs, ids, ids.count() <= BROADCAST_IDS, not unique), k, similarity)
+        # similar texts share a posting, so these give the sizes by which most of the first pairs are out; texts without words have none
+        size = posts.select("doc", "n").unionByName(texts.where("void").select("doc", F.lit(0).alias("n"))).groupBy("doc").agg(F.max("n").alias("n"))
+        n = lambda c: size.select(F.col("doc").alias(c), F.col("n").alias(f"n_{c}"))
+        pairs = pairs.join(n("x"), "x").join(n("y"), "y").where(f"least(n_x, n_y) + 1e-6 >= greatest(n_x, n_y) * {similarity!r}").select("x", "y")
+        found = stored(_similar(docs, stored(pairs, "pairs-sized"), k, similarity, not unique), "links")
+        later = roots(_linked(docs, posts, found, k, similarity, not unique)).select(F.col("node").alias("doc"), F.lit(True).alias("linked"))
         gone = rows.select("doc_id", "h", "key").join(texts.select("key", "doc").join(later, "doc", "left"), "key").where("linked or doc_id <> doc")
         d, h = fresh(docs, "copy_doc"), fresh(docs, "copy_text")
         gone = stored(gone.select(F.col("doc_id").alias(d), F.col("h").alias(h)).distinct(), "near-copies", keep=True)

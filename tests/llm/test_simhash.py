@@ -153,3 +153,11 @@ def test_ids_beyond_doubles(spark):
     rows = spark.createDataFrame([(2**53 + 1, "a b c d e"), (None, "a b c d e"), (2**53 + 3, "x y z")], "doc_id long, text string")
     got = S.near_duplicates(rows).collect()
     assert sorted(((r["doc_id"] or 0), r["component_id"]) for r in got) == [(0, 2**53 + 1), (2**53 + 1, 2**53 + 1), (2**53 + 3, 2**53 + 3)]
+
+
+def test_stage_sends_no_sets_of_texts_that_cannot_be_similar(spark, monkeypatch):
+    passage = " ".join(f"p{i}" for i in range(12))
+    texts = [" ".join([passage, *(f"t{n}x{i}" for i in range(25 * 2**n))]) for n in range(7)]
+    tested, real = [], S._similar
+    monkeypatch.setattr(S, "_similar", lambda docs, pairs, *a: tested.extend(pairs.collect()) or real(docs, pairs, *a))
+    assert kept(spark, texts) == list(range(7)) and not tested
