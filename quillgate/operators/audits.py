@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillgate.sources.documents import ancestors, hashed, suffix
+from quillgate.tables import checkpointed
 
 CHECK = "n int, name string, status string, detail string"
 
@@ -100,18 +101,22 @@ def table_rows(rows: DataFrame, n_cells: int, filled: list[str], fixed: dict[str
 
 
 def forbidden_keys(docs: DataFrame, prohibited: list[str]) -> DataFrame:
-    """Where a key of the list stands in a document (name, raw), at any depth."""
-    spark = docs.sparkSession
-    nodes = spark.sql(
-        """WITH RECURSIVE node(name, path, key, v) AS (
-             SELECT name, 'root', CAST(NULL AS STRING), raw FROM {docs}
-             UNION ALL
-             SELECT n.name, concat(n.path, coalesce('.' || x.key, '[' || x.pos || ']')), x.key, to_json(x.value)
-             FROM node n, LATERAL variant_explode(try_parse_json(n.v)) x)
-           SELECT name, path, key FROM node""",
-        docs=docs.select("name", "raw"),
-    )
-    return failures(nodes.where(F.col("key").isin(*prohibited)), "name", "path")
+    """Where a key of the list stands in a document (name, raw), at any depth. A round for each level, as SQL's recursion has a limit of
+    rows and of levels; what goes on is what holds others."""
+    level, found = docs.select("name", F.lit("root").alias("path"), F.col("raw").alias("v")), None
+    while True:
+        nodes = docs.sparkSession.sql(
+            """SELECT n.name, concat(n.path, coalesce('.' || x.key, '[' || x.pos || ']')) AS path, x.key, to_json(x.value) AS v
+               FROM {level} n, LATERAL variant_explode(try_parse_json(n.v)) x""",
+            level=level,
+        )
+        own, holds = F.col("key").isin(*prohibited), F.col("v").rlike(r"^[\[{]") & ~F.col("v").isin("{}", "[]")
+        nodes = checkpointed(nodes.where(own | holds).select("name", "path", "key", F.when(holds, F.col("v")).alias("v")))
+        here = nodes.where(own).select("name", "path")
+        found = here if found is None else found.unionByName(here)
+        level = nodes.where("v is not null").select("name", "path", "v")
+        if level.isEmpty():
+            return failures(found, "name", "path")
 
 
 #: What a sound binding may be.

@@ -49,6 +49,19 @@ def test_forbidden_keys_at_any_depth(spark, rows):
     assert rows(A.forbidden_keys(docs, ["bad"])) == [("m", "root.a[0].b.bad"), ("m", "root.bad")]
 
 
+def test_forbidden_keys_of_more_rows_and_levels_than_a_recursion_may_have(spark, rows):
+    limits = {"spark.sql.cteRecursionRowLimit": "20", "spark.sql.cteRecursionLevelLimit": "3"}
+    docs = spark.createDataFrame([(str(i), '{"a":[{"b":{"c":{"bad":[{"bad":{}}],"e":{},"f":[]}}}]}') for i in range(30)], "name string, raw string")
+    for k, v in limits.items():
+        spark.conf.set(k, v)
+    try:
+        found = rows(A.forbidden_keys(docs, ["bad"]))
+    finally:
+        for k in limits:
+            spark.conf.unset(k)
+    assert found == sorted((str(i), f"root.a[0].b.c.bad{rest}") for i in range(30) for rest in ("", "[0].bad"))
+
+
 COMMITS = [("c1", None), ("c2", "c1"), ("c3", "c2"), ("x1", None)]
 
 
