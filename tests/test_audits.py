@@ -206,3 +206,16 @@ def test_runs_and_reports(spark, tmp_path):
     assert "Result: FAIL (6 checks, 2 failed)" in text and text.count("| PASS |") == 4
     reports.write_markdown(remote, str(tmp_path / "r"), "Audit", {})
     assert spark.read.text(str(tmp_path / "r")).count() > 6
+
+
+def test_self_references_beyond_the_recursion_limit(spark):
+    from quillgate.queries_release import self_references
+
+    spark.conf.set("spark.sql.cteRecursionRowLimit", "100")
+    try:
+        found = self_references(spark, "/root/testdata/sf0.001")
+        keys = [r[0] for r in spark.read.parquet("/root/testdata/sf0.001/customer.parquet").select("c_custkey").collect()]
+        wanted = {(str(k), p) for k in keys for n, p in ((3, "root.a[0].b.self"), (4, "root.self"), (5, "root.x.y.commit")) if k % n == 0}
+        assert {tuple(r) for r in found.collect()} == wanted
+    finally:
+        spark.conf.unset("spark.sql.cteRecursionRowLimit")
