@@ -289,36 +289,32 @@ def _postings(texts: DataFrame, k: int, similarity: float) -> DataFrame:
 
 
 def _named(posts: DataFrame, found: DataFrame, name: str) -> DataFrame:
-    """posts with label, the component by the links found; only of shingles that several components have."""
+    """posts with label, the component by the links found; only of shingles that several components have, as texts of different components
+    share no others. before: the text's shingles of that kind that come earlier."""
     label = posts.join(roots(found).withColumnRenamed("node", "doc"), "doc", "left").withColumn("label", F.coalesce("root", "doc")).drop("root")
     label = stored(label, f"{name}-all")
     mixed = label.groupBy("s").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("s")
-    return stored(label.join(mixed, "s", "left_semi"), name)
-
-
-def _possible(similarity: float, x: Callable[[str], str], y: Callable[[str], str]) -> str:
-    """Whether two texts that share a shingle can be similar, in SQL. As all order shingles alike, they have no more in common than
-    what is before it in both, itself, and what is after it in both."""
-    most = f"least({x('at')}, {y('at')}) + 1 + least({x('n')} - {x('at')}, {y('n')} - {y('at')}) - 1"
-    return f"{most} + 1e-6 >= ({x('n')} + {y('n')}) * {similarity / (1 + similarity)!r}"
+    return stored(label.join(mixed, "s", "left_semi").withColumn("before", F.row_number().over(W.partitionBy("doc").orderBy("at")) - 1), name)
 
 
 def _linked(docs: DataFrame, posts: DataFrame, found: DataFrame, k: int, similarity: float, repeated: bool) -> DataFrame:
     """The links found by pairs, and those that are needed to connect all similar texts.
 
     Each text meets the one of its shingle that shares most with others. What is still apart after that meets everything of
-    another component with which it has a shingle in common, so nothing that is left untested could join two components."""
+    another component with which it has a shingle in common, so nothing that is left untested could join two components. As all
+    order shingles alike, two texts have no more in common than what is before a common one in both, and from it on in both."""
     apart = _named(posts, found, "apart")
     shared = posts.groupBy("doc").agg((F.count("*") / F.max("n")).alias("part"))
-    hub = apart.join(shared, "doc").groupBy("s").agg(F.max_by(F.struct("doc", "label", "n", "at"), F.struct("part", -F.col("doc"))).alias("hub"))
-    star = apart.join(hub, "s").where("label <> hub.label").where(_possible(similarity, str, "hub.{}".format))
+    hub = apart.join(shared, "doc").groupBy("s").agg(F.max_by(F.struct("doc", "label", "n", "at", "before"), F.struct("part", -F.col("doc"))).alias("hub"))
+    star = apart.join(hub, "s").where("label <> hub.label").where(f"least(before, hub.before) + least(n - at, hub.n - hub.at) + 1e-6 >= (n + hub.n) * {similarity / (1 + similarity)!r}")
     tested = stored(star.select(F.least("doc", "hub.doc").alias("x"), F.greatest("doc", "hub.doc").alias("y")).distinct(), "stars")
     found = stored(found.unionByName(_similar(docs, tested, k, similarity, repeated)), "links-stars")
-    apart = _named(apart.drop("label"), found, "still-apart")
+    apart = _named(apart.drop("label", "before"), found, "still-apart")
     most = apart.groupBy("s", "label").count().groupBy("s").agg(F.max_by("label", F.struct("count", "label")).alias("most"))
+    # a pair that loses one of its rows here isn't similar; one that is keeps all, so that its common shingles are counted
     apart = stored(apart.join(most, "s").withColumn("minor", F.col("label") != F.col("most")).drop("most"), "minor")
-    side = lambda c: apart.select("s", *[F.col(x).alias(f"{c}_{x}") for x in ("doc", "n", "at", "label", "minor")])
-    both = side("x").where("x_minor").join(side("y"), "s").where("x_label <> y_label and (not y_minor or x_doc < y_doc)").where(_possible(similarity, "x_{}".format, "y_{}".format))
+    side = lambda c: apart.select("s", *[F.col(x).alias(f"{c}_{x}") for x in ("doc", "n", "at", "before", "label", "minor")])
+    both = side("x").where("x_minor").join(side("y"), "s").where("x_label <> y_label and (not y_minor or x_doc < y_doc)").where(f"least(x_before, y_before) + least(x_n - x_at, y_n - y_at) + 1e-6 >= (x_n + y_n) * {similarity / (1 + similarity)!r}")
     swap = F.col("x_doc") > F.col("y_doc")
     both = both.select(*[F.when(swap, F.col(f"{b}_{c}")).otherwise(F.col(f"{a}_{c}")).alias(f"{a}_{c}") for a, b in ("xy", "yx") for c in ("doc", "n", "at")])
     both = both.groupBy("x_doc", "y_doc", "x_n", "y_n").agg(F.count("*").alias("c"), F.max("x_at").alias("x_at"), F.max("y_at").alias("y_at"))

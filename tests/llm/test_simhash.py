@@ -161,3 +161,16 @@ def test_stage_sends_no_sets_of_texts_that_cannot_be_similar(spark, monkeypatch)
     tested, real = [], S._similar
     monkeypatch.setattr(S, "_similar", lambda docs, pairs, *a: tested.extend(pairs.collect()) or real(docs, pairs, *a))
     assert kept(spark, texts) == list(range(7)) and not tested
+
+
+def test_stage_pairs_no_crowd_whose_texts_are_all_too_far_apart(spark, monkeypatch):
+    r, base, texts = random.Random(9), [f"b{i}" for i in range(100)], []
+    for n in range(60):  # all share most of a base that isn't there
+        w = list(base)
+        for i in r.sample(range(0, 100, 5), 6):
+            w[i] = f"e{n}x{i}"
+        texts.append(" ".join(w))
+    tested, real = [], S._similar
+    monkeypatch.setattr(S, "_similar", lambda docs, pairs, *a: tested.append(pairs.count()) or real(docs, pairs, *a))
+    assert kept(spark, texts) == brute_kept(texts) == list(range(60))
+    assert sum(tested[1:]) < 60
