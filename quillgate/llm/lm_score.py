@@ -2,10 +2,9 @@ r"""LM scoring: a causal self-attention model over subword ids, and a unigram ba
 
 Texts are read twice: once to count the words of training rows, once to cut all texts into subword ids, which are kept in the
 shared folder with each text's word figures. The model (see attention) learns from windows of the training rows' ids. A bounded
-number of them (about `WARM_TOKENS` ids) starts it on the driver; then, for `ROUNDS` rounds, groups of about `GROUP_TOKENS` ids each
-train a copy of it on windows of their own, and the copies are averaged. The windows of the rounds are a fixed share of all there are
-(`SHARE`, more where the corpus is small), so what is learnt from grows with the corpus, as does the number of groups; windows
-are drawn alike from texts of any length. Ids' counts, from which classes and their members' shares come, are those of all training rows.
+number of them (about `WARM_TOKENS` ids) starts it on the driver and gives the groups of ids with like neighbours; then the rounds learn
+from every window of the training rows, each window in one of `ROUNDS` rounds. Each task trains a copy of the model for every
+`GROUP_TOKENS` ids or so that it reads, where it reads them, and the copies are averaged. Ids' counts, from which classes and their members' shares come, are those of all training rows.
 
 Words are told apart by exact keys in numpy tables. The `HOT_WORDS` most frequent words of up to 15 bytes are broadcast: their size is
 fixed. What is left, the rare words of each document, meets the word table in a join, in which no word is frequent.
@@ -24,18 +23,19 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillgate.llm import attention
 from quillgate.llm.attention import STEP, Model, Vocabulary, windows
-from quillgate.llm.common import arrow_runs, held_out, scratch, stored
+from quillgate.llm.common import arrow_runs, held_out, stored
 from quillgate.llm.token_files import CHARS, OUT_BYTES, WordIds, binary, flat_ids, id_counts, word_ids
 from quillgate.llm.wordtable import KIND, LOWER, SHORT, Table, keys, put, runs, spelled, texts_of, words
 
 KEPT_WORDS, HOT_WORDS = 1_000_000, 1 << 18
-#: Ids that the driver starts the model with; the share of all training ids that the rounds learn from, at least; ids of a group.
-WARM_TOKENS, SHARE, GROUP_TOKENS, ROUNDS = 1 << 20, 1 / 32, 1 << 21, 2
+#: Ids that the driver starts the model with; ids that a copy learns from; rounds that share all windows.
+WARM_TOKENS, GROUP_TOKENS, ROUNDS = 1 << 20, 1 << 21, 2
 #: Batches of the start; windows of a batch; learning rates of the start and of each round.
 WARM_STEPS, WINDOWS, RATES = 800, 96, ((0.01, 0.002), (0.003, 0.001), (0.001, 0.0002))
 CHUNK, FAN = 1 << 13, 64
@@ -160,20 +160,32 @@ def _raw(column) -> np.ndarray:
     return np.frombuffer(b"".join(column), "<i4").reshape(-1, attention.WIDTH + 1)
 
 
-def trained_round(drawn: DataFrame, model: Model, vocabulary: Vocabulary, groups: int, number: int) -> Model:
-    """The mean, weighted by windows, of `groups` copies of the model that each learnt from the round's windows of its own group."""
+def trained_round(drawn: DataFrame, model: Model, vocabulary: Vocabulary, number: int) -> Model:
+    """The mean, weighted by windows, of copies of the model that each learnt from some of the round's windows. No window is shuffled."""
     spark = drawn.sparkSession
     held = spark.sparkContext.broadcast((model, vocabulary))
     rates = RATES[min(number, len(RATES) - 1)]
 
-    def learn(key: tuple, b: pd.DataFrame) -> pd.DataFrame:
+    def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model, vocabulary = held.value
-        raw = _raw(b.window)
-        copy = Model().with_flat(model.flat())
-        copy.train(raw, vocabulary, max(1, len(raw) // WINDOWS), rates=rates, seed=int(key[0]))
-        flat = copy.flat().astype(np.float64) * len(raw)
-        cuts = range(0, len(flat), CHUNK)
-        return pd.DataFrame({"part": range(len(cuts)), "fan": int(key[0]) % FAN, "n": len(raw), "sums": [flat[a : a + CHUNK].tobytes() for a in cuts]})
+        task, copies, own, n = TaskContext.get().partitionId(), 0, [], 0
+
+        def copy() -> pd.DataFrame:
+            raw, m = np.concatenate(own), Model().with_flat(model.flat())
+            m.train(raw, vocabulary, max(1, len(raw) // WINDOWS), rates=rates, seed=task * 1000 + copies)
+            flat = m.flat().astype(np.float64) * len(raw)
+            cuts = range(0, len(flat), CHUNK)
+            return pd.DataFrame({"part": range(len(cuts)), "fan": (task + copies) % FAN, "n": len(raw), "sums": [flat[a : a + CHUNK].tobytes() for a in cuts]})
+
+        for b in batches:
+            if len(b):
+                own.append(_raw(b.window))
+                n += len(b)
+            if n * STEP >= GROUP_TOKENS:
+                yield copy()
+                copies, own, n = copies + 1, [], 0
+        if n:
+            yield copy()
 
     def add(key: tuple, b: pd.DataFrame) -> pd.DataFrame:
         total = sum(np.frombuffer(x) for x in b.sums)
@@ -181,7 +193,7 @@ def trained_round(drawn: DataFrame, model: Model, vocabulary: Vocabulary, groups
 
     shape = "part int, fan int, n long, sums binary"
     own = drawn.where(F.floor(F.col("u") * F.lit(2.0**40)) % ROUNDS == number - 1)
-    copies = own.withColumn("group", F.pmod(F.xxhash64("u", F.lit(number)), F.lit(groups)).cast("int")).groupBy("group").applyInPandas(learn, shape)
+    copies = own.select("window").mapInPandas(learn, shape)
     # copies of the model are added FAN by FAN, part by part; what reaches the driver is one model
     got = copies.groupBy("part", "fan").applyInPandas(add, shape).groupBy("part").applyInPandas(add, shape).orderBy("part").collect()
     if not got:
@@ -198,16 +210,13 @@ def train(rows: DataFrame, n_texts: int, tokenizer_path: str) -> tuple[Model, Vo
     counts[end] += n_texts
     total = max(counts.sum(), 1.0)
     warm = min(1.0, WARM_TOKENS / total)
-    share = max(SHARE, warm)
-    with scratch(rows.sparkSession):
-        drawn = stored(draw_windows(rows, width, end, share), "lm-windows")
-        start = _raw(r["window"] for r in drawn.where(F.col("u") < warm).orderBy("u").collect())
-        vocabulary = Vocabulary.of(counts, start[start >= 0])
-        model = Model(0, vocabulary, counts)
-        model.train(start, vocabulary, WARM_STEPS, WINDOWS, RATES[0])
-        groups = math.ceil(total * share / ROUNDS / GROUP_TOKENS)
-        for number in range(1, ROUNDS + 1):
-            model = trained_round(drawn, model, vocabulary, groups, number)
+    start = _raw(r["window"] for r in draw_windows(rows, width, end, warm).orderBy("u").collect())
+    vocabulary = Vocabulary.of(counts, start[start >= 0])
+    model = Model(0, vocabulary, counts)
+    model.train(start, vocabulary, WARM_STEPS, WINDOWS, RATES[0])
+    drawn = draw_windows(rows, width, end, 1.0)
+    for number in range(1, ROUNDS + 1):
+        model = trained_round(drawn, model, vocabulary, number)
     return model, vocabulary, end
 
 

@@ -151,3 +151,13 @@ def test_windows_are_drawn_alike_and_rounds_learn_in_groups(spark, monkeypatch):
     model, v, end = lm_score.train(rows, len(texts), PATH)
     assert np.isfinite(model.flat()).all() and v.share.max() <= 0 and end == 49407
     assert pc.sum(pa.array(v.member >= 0)).as_py() > 0
+
+
+def test_the_rounds_learn_from_every_window(spark, monkeypatch):
+    shares, real = [], lm_score.draw_windows
+    monkeypatch.setattr(lm_score, "draw_windows", lambda rows, width, end, share: shares.append(share) or real(rows, width, end, share))
+    monkeypatch.setattr(lm_score, "WARM_TOKENS", 20)
+    monkeypatch.setattr(lm_score, "WARM_STEPS", 2)
+    docs = spark.createDataFrame([(i, f"the cat {i} sat on mat {i % 7} " * 10) for i in range(60)], "doc_id long, text string")
+    assert lm_score.score(docs, PATH).count() == 60
+    assert max(shares) >= 1
