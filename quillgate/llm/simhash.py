@@ -223,6 +223,8 @@ STAGE_SEEDS, BROADCAST_IDS = (42,), 1 << 20
 PAIRED = 64
 #: Leading bits of a shingle's hash by which shingles are counted.
 LEVEL_BITS = 18
+#: Longs of a text's sketch.
+SKETCH = 16
 
 
 def _candidates(texts: DataFrame, fp: str, radius: int) -> DataFrame:
@@ -290,11 +292,36 @@ def _postings(texts: DataFrame, k: int, similarity: float) -> DataFrame:
 
 def _named(posts: DataFrame, found: DataFrame, name: str) -> DataFrame:
     """posts with label, the component by the links found; only of shingles that several components have, as texts of different components
-    share no others. before: the text's shingles of that kind that come earlier."""
+    share no others."""
     label = posts.join(roots(found).withColumnRenamed("node", "doc"), "doc", "left").withColumn("label", F.coalesce("root", "doc")).drop("root")
     label = stored(label, f"{name}-all")
     mixed = label.groupBy("s").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("s")
-    return stored(label.join(mixed, "s", "left_semi").withColumn("before", F.row_number().over(W.partitionBy("doc").orderBy("at")) - 1), name)
+    return label.join(mixed, "s", "left_semi")
+
+
+def _sketches(texts: DataFrame, k: int) -> DataFrame:
+    """doc, b0, b1 and so on: for each of 64 x SKETCH classes of hashes, whether the text has an odd number of shingles in it. The classes in
+    which two texts differ are no more than the shingles that only one of them has."""
+    names = [f"b{i}" for i in range(SKETCH)]
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for doc, each in _hashed(batches, k):
+            odd = np.array([np.bincount((h % np.uint64(64 * SKETCH)).astype(np.int64), minlength=64 * SKETCH) & 1 for h in each], np.uint8)
+            bits = np.packbits(odd, axis=1).view(np.int64)
+            yield pa.record_batch({"doc": doc} | {x: np.ascontiguousarray(bits[:, i]) for i, x in enumerate(names)})
+
+    return texts.mapInArrow(work, ", ".join(f"{x} long" for x in ["doc", *names]))
+
+
+def _met(apart: DataFrame, sketches: DataFrame, similarity: float) -> DataFrame:
+    """Pairs of texts of different components at the shingles they share, but for pairs that cannot be similar by their sketches. A
+    pair's first common shingle, and those that follow while there is room for enough of them, are there."""
+    apart = apart.join(sketches, "doc")
+    side = lambda c: apart.select(*[F.col(x).alias(x if x == "s" else f"{c}_{x}") for x in apart.columns])
+    both = side("x").where("x_minor").join(side("y"), "s").where("x_label <> y_label and (not y_minor or x_doc < y_doc)")
+    room = f"least(x_n - x_at, y_n - y_at) + 1e-6 >= (x_n + y_n) * {similarity / (1 + similarity)!r}"
+    differ = " + ".join(f"bit_count(x_b{i} ^ y_b{i})" for i in range(SKETCH))
+    return both.where(f"{room} and {differ} <= (x_n + y_n) * {(1 - similarity) / (1 + similarity)!r} + 1e-6")
 
 
 def _linked(docs: DataFrame, posts: DataFrame, found: DataFrame, k: int, similarity: float, repeated: bool) -> DataFrame:
@@ -303,18 +330,18 @@ def _linked(docs: DataFrame, posts: DataFrame, found: DataFrame, k: int, similar
     Each text meets the one of its shingle that shares most with others. What is still apart after that meets everything of
     another component with which it has a shingle in common, so nothing that is left untested could join two components. As all
     order shingles alike, two texts have no more in common than what is before a common one in both, and from it on in both."""
-    apart = _named(posts, found, "apart")
+    # before: the text's shingles that several components have and that come earlier
+    apart = stored(_named(posts, found, "apart").withColumn("before", F.row_number().over(W.partitionBy("doc").orderBy("at")) - 1), "apart")
     shared = posts.groupBy("doc").agg((F.count("*") / F.max("n")).alias("part"))
     hub = apart.join(shared, "doc").groupBy("s").agg(F.max_by(F.struct("doc", "label", "n", "at", "before"), F.struct("part", -F.col("doc"))).alias("hub"))
     star = apart.join(hub, "s").where("label <> hub.label").where(f"least(before, hub.before) + least(n - at, hub.n - hub.at) + 1e-6 >= (n + hub.n) * {similarity / (1 + similarity)!r}")
     tested = stored(star.select(F.least("doc", "hub.doc").alias("x"), F.greatest("doc", "hub.doc").alias("y")).distinct(), "stars")
     found = stored(found.unionByName(_similar(docs, tested, k, similarity, repeated)), "links-stars")
-    apart = _named(apart.drop("label", "before"), found, "still-apart")
+    apart = stored(_named(apart.drop("label", "before"), found, "still-apart"), "still-apart")
     most = apart.groupBy("s", "label").count().groupBy("s").agg(F.max_by("label", F.struct("count", "label")).alias("most"))
-    # a pair that loses one of its rows here isn't similar; one that is keeps all, so that its common shingles are counted
     apart = stored(apart.join(most, "s").withColumn("minor", F.col("label") != F.col("most")).drop("most"), "minor")
-    side = lambda c: apart.select("s", *[F.col(x).alias(f"{c}_{x}") for x in ("doc", "n", "at", "before", "label", "minor")])
-    both = side("x").where("x_minor").join(side("y"), "s").where("x_label <> y_label and (not y_minor or x_doc < y_doc)").where(f"least(x_before, y_before) + least(x_n - x_at, y_n - y_at) + 1e-6 >= (x_n + y_n) * {similarity / (1 + similarity)!r}")
+    ids = stored(apart.select("doc").distinct(), "minor-ids")
+    both = _met(apart, stored(_sketches(_texts_of(docs, ids, ids.count() <= BROADCAST_IDS, repeated), k), "sketches"), similarity)
     swap = F.col("x_doc") > F.col("y_doc")
     both = both.select(*[F.when(swap, F.col(f"{b}_{c}")).otherwise(F.col(f"{a}_{c}")).alias(f"{a}_{c}") for a, b in ("xy", "yx") for c in ("doc", "n", "at")])
     both = both.groupBy("x_doc", "y_doc", "x_n", "y_n").agg(F.count("*").alias("c"), F.max("x_at").alias("x_at"), F.max("y_at").alias("y_at"))

@@ -174,3 +174,26 @@ def test_stage_pairs_no_crowd_whose_texts_are_all_too_far_apart(spark, monkeypat
     monkeypatch.setattr(S, "_similar", lambda docs, pairs, *a: tested.append(pairs.count()) or real(docs, pairs, *a))
     assert kept(spark, texts) == brute_kept(texts) == list(range(60))
     assert sum(tested[1:]) < 60
+
+
+def test_stage_pairs_no_texts_that_share_rare_passages_but_too_little(spark, monkeypatch):
+    part = lambda name, n: [f"{name}x{i}" for i in range(n)]
+    texts = [" ".join([*part(f"r{row}", 120), *part(f"c{column}", 80)]) for row in range(20) for column in range(6)]
+    r = random.Random(1)
+    r.shuffle(texts)
+    tested, real = [], S._similar
+    monkeypatch.setattr(S, "_similar", lambda docs, pairs, *a: tested.append(pairs.count()) or real(docs, pairs, *a))
+    assert kept(spark, texts) == brute_kept(texts) == list(range(120))
+    assert tested[-1] == 0
+
+
+def test_sketches_differ_no_more_than_texts_do(spark):
+    r = random.Random(2)
+    texts = [" ".join(f"w{r.randrange(30 * 4**n)}" for _ in range(5 * 4**n)) for n in range(6)] * 2
+    texts += [t + " and one more" for t in texts] + ["", None]
+    sets = [set(S.shingle_hashes(t or "", 5)) for t in texts]
+    rows = {x["doc"]: x[1:] for x in S._sketches(spark.createDataFrame(list(enumerate(texts)), "doc long, text string"), 5).collect()}
+    assert len(rows) == len(texts)
+    differ = lambda i, j: sum(((a ^ b) % 2**64).bit_count() for a, b in zip(rows[i], rows[j], strict=True))
+    assert all(differ(i, j) <= len(sets[i] ^ sets[j]) for i in rows for j in rows)
+    assert differ(0, 5) > 0 == differ(5, 11)
