@@ -257,11 +257,14 @@ class Model:
         return g, loss
 
     def train(self, raw: np.ndarray, vocabulary: Vocabulary, steps: int, batch: int = 96, rates: tuple[float, float] = (0.01, 0.0005), seed: int = 0) -> list[float]:
-        """Adam over batches of windows(), the rate going from the first to the second; without windows nothing changes."""
-        r, losses = np.random.default_rng(seed), []
+        """Adam over batches of windows(), the rate going from the first to the second; without windows nothing changes. No window
+        comes again before all have come."""
+        r, losses, queue = np.random.default_rng(seed), [], np.zeros(0, np.int64)
         m, s = {k: np.zeros_like(v) for k, v in self.p.items()}, {k: np.zeros_like(v) for k, v in self.p.items()}
         for t in range(1, steps + 1 if len(raw) else 1):
-            own = raw[r.integers(0, len(raw), batch)]
+            while len(queue) < batch:
+                queue = np.concatenate([queue, r.permutation(len(raw))])
+            own, queue = raw[queue[:batch]], queue[batch:]
             target = own[:, WIDTH + 1 - STEP :].ravel()
             real = target >= 0
             target = np.where(real, target, 0)

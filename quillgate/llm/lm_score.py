@@ -172,7 +172,7 @@ def trained_round(drawn: DataFrame, model: Model, vocabulary: Vocabulary, number
 
         def copy() -> pd.DataFrame:
             raw, m = np.concatenate(own), Model().with_flat(model.flat())
-            m.train(raw, vocabulary, max(1, len(raw) // WINDOWS), rates=rates, seed=task * 1000 + copies)
+            m.train(raw, vocabulary, -(-len(raw) // WINDOWS), WINDOWS, rates, seed=task * 1000 + copies)
             flat = m.flat().astype(np.float64) * len(raw)
             cuts = range(0, len(flat), CHUNK)
             return pd.DataFrame({"part": range(len(cuts)), "fan": (task + copies) % FAN, "n": len(raw), "sums": [flat[a : a + CHUNK].tobytes() for a in cuts]})

@@ -161,3 +161,19 @@ def test_the_rounds_learn_from_every_window(spark, monkeypatch):
     docs = spark.createDataFrame([(i, f"the cat {i} sat on mat {i % 7} " * 10) for i in range(60)], "doc_id long, text string")
     assert lm_score.score(docs, PATH).count() == 60
     assert max(shares) >= 1
+
+
+def test_a_copy_learns_from_each_of_its_windows(monkeypatch):
+    """As many batches as hold all windows show all of them, not a draw with repetitions."""
+    ids = np.random.default_rng(0).integers(0, 200, 24 * 500)
+    raw = A.windows(ids, np.full(500, 24))[0]
+    counts = np.bincount(ids, minlength=200).astype(float)
+    seen, real = [], A.Vocabulary.inputs
+    monkeypatch.setattr(A.Vocabulary, "inputs", lambda self, x: seen.append(x.copy()) or real(self, x))
+    v = A.Vocabulary.of(counts, ids)
+    A.Model(0, v, counts).train(raw, v, -(-len(raw) // 96), 96)
+    assert {x.tobytes() for x in np.concatenate(seen)} == {np.ascontiguousarray(x).tobytes() for x in raw[:, :-1]}
+    few = raw[:5]  # less than a batch
+    seen.clear()
+    A.Model(0, v, counts).train(few, v, 1, 96)
+    assert len({x.tobytes() for x in np.concatenate(seen)}) == 5
