@@ -16,6 +16,8 @@ WIDTH, STEP, DIM, HIDDEN = 32, 24, 32, 64
 HEAD, GROUPS, MEMBERS, NEAR, CONTEXTS = 96, 32, 32, 8, 128
 INPUTS, OWN_INPUT = 3072, 2048
 BATCH = 128
+#: Rows of logits and numbers of Adam's means that are worked on at once.
+HEAD_ROWS, ADAM_RUN = 576, 1 << 14
 START, PAD = INPUTS, INPUTS + 1  # rows of the input table
 BEFORE, OUTSIDE = -2, -1  # in windows: what precedes a text's first id, and places that no text has
 
@@ -29,6 +31,7 @@ class Vocabulary:
     head: np.ndarray
     member: np.ndarray
     share: np.ndarray
+    table: np.ndarray | None = None  # see inputs()
 
     @classmethod
     def of(cls, counts: np.ndarray, sample: np.ndarray, seed: int = 0) -> Vocabulary:
@@ -53,8 +56,10 @@ class Vocabulary:
         return cls(row, head, member, np.log10((counts + 0.5) / total[place]))
 
     def inputs(self, raw: np.ndarray) -> np.ndarray:
-        """Rows of the input table of windows."""
-        return np.concatenate([self.row, [START, PAD]])[raw]
+        """Rows of the input table of windows. BEFORE and OUTSIDE count from the end."""
+        if self.table is None:
+            self.table = np.concatenate([self.row, [START, PAD]]).astype(np.int32)
+        return self.table[raw]
 
 
 def _clusters(by_count: np.ndarray, sample: np.ndarray, k: int, seed: int, rounds: int = 15) -> np.ndarray:
@@ -140,38 +145,13 @@ class Model:
         return np.concatenate([v.ravel() for v in self.p.values()])
 
     def with_flat(self, flat: np.ndarray) -> Model:
-        at = 0
-        for k, v in self.p.items():
-            self.p[k] = flat[at : at + v.size].reshape(v.shape).astype(np.float32)
-            at += v.size
+        self.p = self._views(flat.astype(np.float32))
         return self
 
-    def forward(self, x: np.ndarray, keep: bool = False):
-        """What the softmax reads for each scored place, a one at its end; with keep, also what gradients() needs."""
-        p, n = self.p, len(x)
-        e = p["E"][x] + p["P"]
-        own = np.ascontiguousarray(e[:, WIDTH - STEP :])
-        flat = e.reshape(-1, DIM)
-        k, v = (flat @ p["K"]).reshape(n, WIDTH, DIM), (flat @ p["V"]).reshape(n, WIDTH, DIM)
-        q = ((own.reshape(-1, DIM) @ p["Q"]) * np.float32(DIM**-0.5)).reshape(n, STEP, DIM)
-        s = q @ k.transpose(0, 2, 1)
-        s += _LATER
-        part = np.flatnonzero(x[:, 0] == PAD)  # only a text's first windows have unused places that a scored one sees
-        s[part] = np.where((x[part] == PAD)[:, None, :], np.float32(-1e9), s[part])
-        if keep or s.max(initial=0) > 60:
-            s -= s.max(2, keepdims=True)
-        np.exp(s, out=s)
-        total = s.sum(2, keepdims=True)
-        if keep:
-            s /= total
-            total = np.float32(1)
-        c = ((s @ v) / total).reshape(-1, DIM)
-        y = own.reshape(-1, DIM) + c @ p["O"]
-        h = np.maximum(y @ p["A"] + p["a"], 0)
-        z = np.empty((n * STEP, DIM + 1), np.float32)
-        z[:, DIM] = 1
-        np.add(y, h @ p["B"], out=z[:, :DIM])
-        return (z, (e, own, k, v, q, s, c, y, h)) if keep else z
+    def _views(self, flat: np.ndarray) -> dict[str, np.ndarray]:
+        """Parts of such an array, shaped like the parameters."""
+        ends = np.cumsum([v.size for v in self.p.values()])
+        return {k: flat[z - v.size : z].reshape(v.shape) for (k, v), z in zip(self.p.items(), ends, strict=True)}
 
     def folded(self) -> dict[str, np.ndarray]:
         """Products of matrices that scoring applies one after the other: queries meet inputs as they are, and the inputs' weighted
@@ -180,20 +160,21 @@ class Model:
         return {"QK": p["Q"] @ p["K"].T * np.float32(DIM**-0.5), "VO": p["V"] @ p["O"], "A": np.concatenate([p["A"], p["a"][None]]), "u": np.sqrt((p["U"] ** 2).sum(0).max())}
 
     def hidden(self, x: np.ndarray, f: dict[str, np.ndarray]) -> np.ndarray:
-        """The same as forward(), by folded()."""
+        """What the softmax reads for each scored place, a one at its end."""
         p, n = self.p, len(x)
-        e = p["E"][x]
+        e = np.take(p["E"], x, axis=0)
         e += p["P"]
         own = e[:, WIDTH - STEP :].reshape(-1, DIM)
         s = (own @ f["QK"]).reshape(n, STEP, DIM) @ e.transpose(0, 2, 1)
         s += _LATER
-        part = np.flatnonzero(x[:, 0] == PAD)
-        s[part] = np.where((x[part] == PAD)[:, None, :], np.float32(-1e9), s[part])
+        part = np.flatnonzero(x[:, 0] == PAD)  # only a text's first windows have unused places that a scored one sees
+        if len(part):
+            s[part] = np.where((x[part] == PAD)[:, None, :], np.float32(-1e9), s[part])
         if s.max(initial=0) > 60:
             s -= s.max(2, keepdims=True)
         np.exp(s, out=s)
         c = s @ e
-        c /= s.sum(2, keepdims=True)
+        c /= (s.reshape(-1, WIDTH) @ np.ones(WIDTH, np.float32)).reshape(n, STEP, 1)
         z = np.empty((n * STEP, DIM + 1), np.float32)
         z[:, DIM] = 1
         np.add(own, c.reshape(-1, DIM) @ f["VO"], out=z[:, :DIM])
@@ -202,65 +183,115 @@ class Model:
         z[:, :DIM] += h @ p["B"]
         return z
 
-    def gradients(self, x: np.ndarray, head: np.ndarray, member: np.ndarray, mask: np.ndarray) -> tuple[dict[str, np.ndarray], float]:
-        """head, member, mask: of the scored places, flat."""
+    def gradients(self, x: np.ndarray, head: np.ndarray, member: np.ndarray, mask: np.ndarray, g: dict[str, np.ndarray] | None = None) -> tuple[dict[str, np.ndarray], float]:
+        """head, member, mask: of the scored places, flat. Like hidden(), by products of matrices: the gradients of both factors follow
+        from that of their product. g: arrays that take the gradients, if given."""
         p, n = self.p, len(x)
-        z, (e, own, k, v, q, s, c, y, h) = self.forward(x, keep=True)
-        total = max(int(mask.sum()), 1)
-        weight = (mask / total).astype(np.float32)
+        kind = p["E"].dtype
+        g = {k: np.empty_like(v) for k, v in p.items()} if g is None else g
+        one = np.ones(max(HEAD + GROUPS, WIDTH, MEMBERS), kind)
+        weight = (mask / max(int(mask.sum()), 1)).astype(kind)
+        qk, vo = p["Q"] @ p["K"].T * kind.type(DIM**-0.5), p["V"] @ p["O"]
+        hidden = np.concatenate([p["A"], p["a"][None]])
         loss = 0.0
 
-        def softmax(z: np.ndarray, u: np.ndarray, target: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        def softmax(d: np.ndarray, target: np.ndarray, weight: np.ndarray) -> None:
+            """Makes logits their gradients."""
             nonlocal loss
-            d = z @ u
-            d -= d.max(1, keepdims=True)
+            if d.max(initial=0) > 60:
+                d -= d.max(1, keepdims=True)
+            at = np.arange(len(d)) * d.shape[1] + target
+            flat = d.ravel()
+            own = flat[at].astype(float)
             np.exp(d, out=d)
-            d /= d.sum(1, keepdims=True)
-            rows = np.arange(len(d))
-            loss -= float((np.log(d[rows, target] + 1e-30) * weight).sum())
-            d[rows, target] -= 1
-            d *= weight[:, None]
-            return d
-
-        d = softmax(z, p["U"], head, weight)
-        g = {"U": z.T @ d, "T": np.zeros_like(p["T"])}
-        dz = d @ p["U"].T
+            total = d @ one[: d.shape[1]]
+            loss -= float(((own - np.log(total)) * weight).sum())
+            d *= (weight / total)[:, None]
+            flat[at] -= weight
+
+        e = np.take(p["E"], x, axis=0)
+        e += p["P"]
+        own = e[:, WIDTH - STEP :].reshape(-1, DIM)
+        q, back = (own @ qk).reshape(n, STEP, DIM), e.transpose(0, 2, 1)
+        s = q @ back
+        s += _LATER
+        part = np.flatnonzero(x[:, 0] == PAD)  # only a text's first windows have unused places that a scored one sees
+        if len(part):
+            s[part] = np.where((x[part] == PAD)[:, None, :], kind.type(-1e9), s[part])
+        if s.max(initial=0) > 60:
+            s -= s.max(2, keepdims=True)
+        np.exp(s, out=s)
+        s *= (1 / (s.reshape(-1, WIDTH) @ one[:WIDTH])).reshape(n, STEP, 1)
+        c = (s @ e).reshape(-1, DIM)
+        y = np.empty((n * STEP, DIM + 1), kind)
+        y[:, DIM] = 1
+        np.add(own, c @ vo, out=y[:, :DIM])
+        h = y @ hidden
+        np.maximum(h, 0, out=h)
+        z = y.copy()
+        z[:, :DIM] += h @ p["B"]
+
+        g["U"][:], dz = 0, np.empty((n * STEP, DIM), kind)
+        for a in range(0, n * STEP, HEAD_ROWS):  # so few that their logits stay in the cache
+            i = slice(a, a + HEAD_ROWS)
+            d = z[i] @ p["U"]
+            softmax(d, head[i], weight[i])
+            g["U"] += z[i].T @ d
+            np.matmul(d, p["U"][:DIM].T, out=dz[i])
         tail = np.flatnonzero((head >= HEAD) & mask)
-        for group, i in _by_group(head[tail] - HEAD):
-            i = tail[i]
-            d = softmax(z[i], p["T"][group], member[i], weight[i])
-            g["T"][group] = z[i].T @ d
-            dz[i] += d @ p["T"][group].T
-        dz = dz[:, :DIM]
-        g["B"] = h.T @ dz
-        dh = (dz @ p["B"].T) * (h > 0)
-        g["A"], g["a"] = y.T @ dh, dh.sum(0)
-        dy = dz + dh @ p["A"].T
-        g["O"] = c.T @ dy
-        dc = (dy @ p["O"].T).reshape(n, STEP, DIM)
-        ds = dc @ v.transpose(0, 2, 1)
-        dv = s.transpose(0, 2, 1) @ dc
-        ds = s * (ds - (ds * s).sum(2, keepdims=True))
-        dq = (ds @ k).reshape(-1, DIM) * np.float32(DIM**-0.5)
-        dk = ds.transpose(0, 2, 1) @ q
-        flat = e.reshape(-1, DIM)
-        dk, dv = dk.reshape(-1, DIM), dv.reshape(-1, DIM)
-        g["Q"], g["K"], g["V"] = own.reshape(-1, DIM).T @ dq, flat.T @ dk, flat.T @ dv
-        de = (dk @ p["K"].T + dv @ p["V"].T).reshape(n, WIDTH, DIM)
-        de[:, WIDTH - STEP :] += (dy + dq @ p["Q"].T).reshape(n, STEP, DIM)
-        g["P"] = de.sum(0)
-        order = np.argsort(x.ravel(), kind="stable")
-        rows = x.ravel()[order]
+        tail = tail[np.argsort(head[tail].astype(np.uint16), kind="stable")]
+        cuts = np.searchsorted(head[tail], np.arange(HEAD, HEAD + GROUPS + 1)).tolist()
+        groups = [(k, slice(a, b)) for k, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)) if a < b]
+        of_tail, d = z[tail], np.empty((len(tail), MEMBERS), kind)
+        for k, i in groups:
+            np.matmul(of_tail[i], p["T"][k], out=d[i])
+        softmax(d, member[tail], weight[tail])
+        g["T"][:] = 0
+        dt = np.empty((len(tail), DIM), kind)
+        for k, i in groups:
+            np.matmul(of_tail[i].T, d[i], out=g["T"][k])
+            np.matmul(d[i], p["T"][k, :DIM].T, out=dt[i])
+        dz[tail] += dt
+
+        np.matmul(h.T, dz, out=g["B"])
+        dh = dz @ p["B"].T
+        dh *= h > 0
+        both = y.T @ dh
+        g["A"][:], g["a"][:] = both[:DIM], both[DIM]
+        dz += dh @ p["A"].T
+        both = c.T @ dz
+        np.matmul(both, p["O"].T, out=g["V"])
+        np.matmul(p["V"].T, both, out=g["O"])
+        dc = (dz @ vo.T).reshape(n, STEP, DIM)
+        ds = dc @ back
+        ds *= s
+        s_ds = ds.reshape(-1, WIDTH) @ one[:WIDTH]
+        de = s.transpose(0, 2, 1) @ dc
+        s *= s_ds.reshape(n, STEP, 1)
+        ds -= s
+        dq = (ds @ e).reshape(-1, DIM)
+        de += ds.transpose(0, 2, 1) @ q
+        both = own.T @ dq * kind.type(DIM**-0.5)
+        np.matmul(both, p["K"], out=g["Q"])
+        np.matmul(both.T, p["Q"], out=g["K"])
+        dz += dq @ qk.T
+        de[:, WIDTH - STEP :] += dz.reshape(n, STEP, DIM)
+        de.sum(0, out=g["P"])
+        rows = x.ravel().astype(np.uint16)
+        order = np.argsort(rows, kind="stable")
+        rows = rows[order]
         starts = np.flatnonzero(np.concatenate(([True], rows[1:] != rows[:-1])))
-        g["E"] = np.zeros_like(p["E"])
-        g["E"][rows[starts]] = np.add.reduceat(de.reshape(-1, DIM)[order], starts, axis=0)
+        g["E"][:] = 0
+        g["E"][rows[starts]] = np.add.reduceat(np.take(de.reshape(-1, DIM), order, axis=0), starts, axis=0)
         return g, loss
 
     def train(self, raw: np.ndarray, vocabulary: Vocabulary, steps: int, batch: int = 96, rates: tuple[float, float] = (0.01, 0.0005), seed: int = 0) -> list[float]:
         """Adam over batches of windows(), the rate going from the first to the second; without windows nothing changes. No window
         comes again before all have come."""
         r, losses, queue = np.random.default_rng(seed), [], np.zeros(0, np.int64)
-        m, s = {k: np.zeros_like(v) for k, v in self.p.items()}, {k: np.zeros_like(v) for k, v in self.p.items()}
+        flat = self.flat()  # parameters, gradients and their means lie in one array each
+        self.p, slope, work = self._views(flat), np.zeros_like(flat), np.empty_like(flat)
+        g, m, s = self._views(slope), np.zeros_like(flat), np.zeros_like(flat)
         for t in range(1, steps + 1 if len(raw) else 1):
             while len(queue) < batch:
                 queue = np.concatenate([queue, r.permutation(len(raw))])
@@ -268,13 +299,23 @@ class Model:
             target = own[:, WIDTH + 1 - STEP :].ravel()
             real = target >= 0
             target = np.where(real, target, 0)
-            g, loss = self.gradients(vocabulary.inputs(own[:, :-1]), vocabulary.head[target], vocabulary.member[target], real)
+            _, loss = self.gradients(vocabulary.inputs(own[:, :-1]), vocabulary.head[target], vocabulary.member[target], real, g)
             losses.append(loss)
             lr = min(1, t / 50) * (rates[0] + (rates[1] - rates[0]) * t / steps)
-            for k, d in g.items():
-                m[k] += 0.1 * (d - m[k])
-                s[k] += 0.005 * (d * d - s[k])
-                self.p[k] -= (lr * (m[k] / (1 - 0.9**t)) / (np.sqrt(s[k] / (1 - 0.995**t)) + 1e-8)).astype(np.float32)
+            # m and s are the sums of 0.9^i and 0.995^i times the last gradients and their squares: ten times and 200 times Adam's means
+            for a in range(0, len(flat), ADAM_RUN):
+                i = slice(a, a + ADAM_RUN)
+                d, w = slope[i], work[i]
+                m[i] *= 0.9
+                m[i] += d
+                s[i] *= 0.995
+                s[i] += np.multiply(d, d, out=d)
+                np.sqrt(s[i], out=w)
+                w *= (0.005 / (1 - 0.995**t)) ** 0.5
+                w += 1e-8
+                np.divide(m[i], w, out=w)
+                w *= lr * 0.1 / (1 - 0.9**t)
+                flat[i] -= w
         return losses
 
     def score(self, ids: np.ndarray, sizes: np.ndarray, vocabulary: Vocabulary) -> np.ndarray:

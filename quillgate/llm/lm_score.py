@@ -166,20 +166,21 @@ def trained_round(drawn: DataFrame, model: Model, vocabulary: Vocabulary, number
     held = spark.sparkContext.broadcast((model, vocabulary))
     rates = RATES[min(number, len(RATES) - 1)]
 
-    def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, vocabulary = held.value
         task, copies, own, n = TaskContext.get().partitionId(), 0, [], 0
 
-        def copy() -> pd.DataFrame:
+        def copy() -> pa.RecordBatch:
             raw, m = np.concatenate(own), Model().with_flat(model.flat())
             m.train(raw, vocabulary, -(-len(raw) // WINDOWS), WINDOWS, rates, seed=task * 1000 + copies)
             flat = m.flat().astype(np.float64) * len(raw)
             cuts = range(0, len(flat), CHUNK)
-            return pd.DataFrame({"part": range(len(cuts)), "fan": (task + copies) % FAN, "n": len(raw), "sums": [flat[a : a + CHUNK].tobytes() for a in cuts]})
+            same = lambda x, kind: pa.array([x] * len(cuts), kind)
+            return pa.record_batch({"part": pa.array(range(len(cuts)), pa.int32()), "fan": same((task + copies) % FAN, pa.int32()), "n": same(len(raw), pa.int64()), "sums": pa.array([flat[a : a + CHUNK].tobytes() for a in cuts], pa.binary())})
 
         for b in batches:
             if len(b):
-                own.append(_raw(b.window))
+                own.append(texts_of(b.column(0))[0].view("<i4").reshape(-1, attention.WIDTH + 1))
                 n += len(b)
             if n * STEP >= GROUP_TOKENS:
                 yield copy()
@@ -193,7 +194,7 @@ def trained_round(drawn: DataFrame, model: Model, vocabulary: Vocabulary, number
 
     shape = "part int, fan int, n long, sums binary"
     own = drawn.where(F.floor(F.col("u") * F.lit(2.0**40)) % ROUNDS == number - 1)
-    copies = own.select("window").mapInPandas(learn, shape)
+    copies = own.select("window").mapInArrow(learn, shape)
     # copies of the model are added FAN by FAN, part by part; what reaches the driver is one model
     got = copies.groupBy("part", "fan").applyInPandas(add, shape).groupBy("part").applyInPandas(add, shape).orderBy("part").collect()
     if not got:

@@ -177,3 +177,35 @@ def test_a_copy_learns_from_each_of_its_windows(monkeypatch):
     seen.clear()
     A.Model(0, v, counts).train(few, v, 1, 96)
     assert len({x.tobytes() for x in np.concatenate(seen)}) == 5
+
+
+def test_learning_multiplies_as_little_as_the_products_of_matrices_allow():
+    """Keys and values of each input aren't made: queries meet inputs as they are. Counted per window, with its ends of groups."""
+
+    class Counted(np.ndarray):
+        done = 0
+
+        def __array_ufunc__(self, ufunc, method, *args, out=None, **more):
+            plain = [np.asarray(x) if isinstance(x, Counted) else x for x in args]
+            if ufunc is np.matmul:
+                a, b = plain
+                Counted.done += a.size * (b.shape[-1] if b.ndim > 1 else 1)
+            if out:
+                getattr(ufunc, method)(*plain, out=tuple(x.view(np.ndarray) for x in out), **more)
+                return out[0]
+            got = getattr(ufunc, method)(*plain, **more)
+            return got.view(Counted) if isinstance(got, np.ndarray) else got
+
+    r, v, counts = small(4)
+    m = A.Model(0, v, counts)
+    raw = A.windows(r.integers(0, 3000, A.STEP * 200), np.full(200, A.STEP))[0]
+    target = raw[:, A.WIDTH + 1 - A.STEP :].ravel()
+    args = v.inputs(raw[:, :-1]), v.head[target], v.member[target], target >= 0
+    want, _ = m.gradients(*args)
+    m.p = {k: x.view(Counted) for k, x in m.p.items()}
+    got, _ = m.gradients(*args)
+    assert all(np.allclose(got[k], want[k], atol=1e-6) for k in want)
+    square, places = A.DIM * A.DIM, A.STEP * A.DIM
+    ways = 3  # a product forward, and what each factor gets of its gradient
+    needed = ways * A.STEP * (2 * square + A.DIM * (2 * A.HIDDEN + A.HEAD + A.GROUPS + A.MEMBERS)) + ways * 2 * places * A.WIDTH
+    assert Counted.done / len(raw) < 1.1 * needed
